@@ -5,25 +5,48 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, token_counts
+from siltstone.llm import bpe, language, mixing, quality, sharding, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.fit(docs)).drop("text")
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), *ranks), *ranks)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
+    model = language.fit(docs.filter("NOT held_out"))
+    return language.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_source_mixing": op2_source_mixing,
     "op4_token_counts": op4_token_counts,
+    "op5_sharding": op5_sharding,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_language_id": op7_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE}
