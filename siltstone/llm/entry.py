@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, language, mixing, quality, sharding, token_counts
+from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, quality, sharding, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -40,13 +44,19 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_source_mixing": op2_source_mixing,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_sharding": op5_sharding,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_language_id": op7_language_id,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE}
