@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, quality, sharding, token_counts
+from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, neighbours, quality, sharding, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_language_id": op7_language_id,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
 
