@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, neighbours, quality, sharding, token_counts
+from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, neighbours, ppm, quality, sharding, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,11 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return ppm.score(table(spark, sf_dir, "documents"), held_out=held_out)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_source_mixing": op2_source_mixing,
@@ -62,6 +67,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_minhash_dedup": op9_minhash_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE}
