@@ -1,15 +1,70 @@
-"""A corpus from raw documents to token ids, in five stages."""
+"""A corpus from raw documents to token ids, in five stages.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and calls one operator of
+``siltstone.llm``. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from siltstone.llm import bpe, language, minhash_dedup, mixing, quality
+from siltstone.sources.scratch import Scratch
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a language that the model has learnt; ``lang`` becomes the predicted language."""
+    model = language.fit(docs.filter(~language.held_out()))
+    found = language.predict(docs, model, prefix="_")
+    return found.filter("NOT _rejected").withColumn("lang", F.col("_lang_pred")).select(*docs.columns)
+
+
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that the scorer does not reject."""
+    return quality.score(docs, quality.fit(docs), prefix="_").filter("NOT _rejected").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of each group of documents that share at least 0.8 of their five-word shingles.
+
+    Of rows that repeat an id one stays; rows without an id go.
+    """
+    found = Scratch(spark).save(minhash_dedup.near_duplicates(docs, shingle=5).filter("kept").select(F.col("doc_id").alias("_kept")), "kept")
+    left = docs.join(found, F.col("doc_id") == F.col("_kept"), "left_semi")
+    repeated = not found.groupBy("_kept").count().filter("count > 1").isEmpty()
+    return left.dropDuplicates(["doc_id"]) if repeated else left
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each document as often as the mix wants it."""
+    return mixing.repeat(docs, Scratch(spark).save(mixing.mix(docs).select("doc_id", "repeats"), "mixed"))
+
+
+def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per taken document: token count and the hashes of its ids and of the bytes that they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.digest(bpe.encode(docs, *ranks), *ranks)
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("quality classifier", classify_quality),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("source mixing", mix_sources),
+    ("byte-level BPE", encode_bytes),
+]
 
-STAGES: list = []
+#: Classifiers and token ids are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; between stages the documents are written and read again."""
+    scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = scratch.save(docs, f"stage-{i}")
     return docs
