@@ -64,7 +64,7 @@ def held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, per_language: int = 3, sample: int = 400, floor: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learns from the rows of ``docs`` with a language and at least one letter; without such rows all is rejected."""
     spark = docs.sparkSession
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(1 << BITS, np.int64), 0
@@ -81,17 +81,20 @@ def fit(docs: DataFrame, per_language: int = 3, sample: int = 400, floor: float
     df = df[df.bucket >= 0]
     idf[df.bucket.to_numpy(int)] = np.log((1.0 + total) / (1.0 + df.df.to_numpy(float))) + 1.0
 
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not sizes:
+        return LanguageModel([], np.zeros((0, 1 << BITS)), np.zeros(0), idf)
     draw = F.xxhash64("id", "text").alias("draw")
-    few = known.join(sizes.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of")).filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < F.least(F.lit(1.0), 2.0 * sample / F.col("n")) * (1 << 30))
+    below = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, 2.0 * sample / r["n"]) * (1 << 30)))))
+    few = known.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < F.element_at(below, F.col("lang")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id"))
     drawn = few.select("id", "text", "lang", draw).withColumn("rank", rank).filter(F.col("rank") <= sample)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("rank")
-        vectors = np.array([unit(grams(t), idf) for t in group.text if has_letter(t)], np.float32)
-        if not len(vectors):
-            return pd.DataFrame({"lang": [], "centroid": [], "floor": []})
+        vectors = np.array([unit(grams(t), idf) for t in group.text], np.float32)
         chosen = [0]  # then always the vector that is farthest from all chosen
         for _ in range(1, min(per_language, len(vectors))):
             chosen.append(int((vectors @ vectors[chosen].T).max(1).argmin()))
@@ -103,9 +106,7 @@ def fit(docs: DataFrame, per_language: int = 3, sample: int = 400, floor: float
         least = (vectors @ centroids.T).max(1).min()
         return pd.DataFrame({"lang": group.lang.iloc[0], "centroid": [c.astype("<f4").tobytes() for c in centroids], "floor": float(floor * least)})
 
-    fitted = drawn.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, floor double").limit(MOST_LANGUAGES * per_language + 1).toPandas()
-    if len(fitted) > MOST_LANGUAGES * per_language:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    fitted = drawn.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, floor double").toPandas()
     fitted = fitted.sort_values(["lang", "centroid"])
     centroids = np.array([np.frombuffer(c, "<f4") for c in fitted.centroid], np.float32).reshape(-1, 1 << BITS)
     return LanguageModel(fitted.lang.tolist(), centroids, fitted.floor.to_numpy(float), idf)
