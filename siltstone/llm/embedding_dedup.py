@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from siltstone.llm.vectors import matrix, packed, unpacked, usable
+from siltstone.llm.vectors import matrix, packed, roots, unpacked, usable
 from siltstone.operators.components import components
 from siltstone.sources.scratch import Scratch
 
@@ -92,20 +92,6 @@ def compare(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The smallest index that each of n nodes reaches along the links (x, y)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[x], label[y])
-        new = label.copy()
-        np.minimum.at(new, x, low)
-        np.minimum.at(new, y, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str = "label") -> DataFrame:
     """One row per row of ``vectors``: id, ``n_links``, ``component_id``, ``kept``.
 

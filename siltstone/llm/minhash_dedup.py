@@ -5,7 +5,9 @@ evaluations as it has values. Values are banded, and documents that share a band
 sets are one representative from the start. In a bucket each member is compared with one centre only, on full sets;
 what the links found join is one component. Only where a bucket still spans several components are further centres
 tried, and in the end all pairs between a component other than the bucket's largest and the rest of the bucket. So no
-candidate is lost, and no bucket ever puts out all its pairs.
+candidate is lost. Only buckets with at most ``FEW_PAIRS`` such pairs put them out as rows; the members of larger ones
+are dealt into tiles, and tiles are compared by one product of their incidence matrices, which puts out a spanning set
+of the links found.
 
 With 6 values a band and 42 bands, two documents of similarity 0.8 share no band with a chance of 3 in a million.
 """
@@ -16,9 +18,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from siltstone.llm.vectors import roots
 from siltstone.llm.words import MULTIPLIER, mixed, shingles
 from siltstone.operators.components import components
 from siltstone.sources.scratch import Scratch
@@ -27,7 +31,9 @@ ROWS, BANDS = 6, 42
 #: Shingles that are permuted at once.
 SLICE = 4096
 #: Rounds with one centre a bucket before all remaining pairs are compared.
-ROUNDS = 3
+ROUNDS = 2
+#: Pairs that a bucket may put out as rows; members of a tile, of either side; shingles of a product.
+FEW_PAIRS, TILE, COLUMNS = 64, 256, 8192
 
 
 def permutations(n: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -53,6 +59,46 @@ def bands(values: np.ndarray, rows: int) -> np.ndarray:
     return h.astype(np.int64)
 
 
+def remaining(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The members (h, rep, label) of other labels than their bucket's largest, and all, with their numbers f and g."""
+    per_label = members.groupBy("h", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = scratch.save(per_label.groupBy("h").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), (F.sum("n") - F.max("n")).alias("f"), F.sum("n").alias("g")), "open-sizes")
+    every = members.select("h", "rep", "label").join(sizes, "h")
+    return every.filter("label <> largest"), every
+
+
+def tiled(few: DataFrame, every: DataFrame, sets: DataFrame, percent: int, id_type: str) -> DataFrame:
+    """Links (a, b) between labels that follow from pairs of few and all members of the larger buckets."""
+    large = F.col("f") * F.col("g") > FEW_PAIRS
+    tiles = lambda n: F.ceil(F.col(n) / TILE)
+    own = lambda n: F.pmod(F.xxhash64("rep"), tiles(n))
+    across = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), tiles(n) - 1))
+    one = few.filter(large).select("h", "rep", "label", own("f").alias("i"), across("g").alias("j"), F.lit(0).alias("side"))
+    two = every.filter(large).select("h", "rep", "label", across("f").alias("i"), own("g").alias("j"), F.lit(1).alias("side"))
+
+    def block(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["side", "rep"])
+        n = int((rows.side == 0).sum())
+        label, at = np.unique(rows.label, return_inverse=True)
+        size = rows["set"].map(len).to_numpy()
+        column = np.unique(np.concatenate(rows["set"].to_list()), return_inverse=True)[1]
+        row = np.repeat(np.arange(len(rows)), size)
+        both = np.zeros((n, len(rows) - n), np.float32)
+        for low in range(0, int(column.max()) + 1, COLUMNS):
+            part = (column >= low) & (column < low + COLUMNS)
+            holds = np.zeros((len(rows), COLUMNS), np.float32)
+            holds[row[part], column[part] - low] = 1
+            both += holds[:n] @ holds[n:].T
+        x, y = np.nonzero(100 * both >= percent * (size[:n, None] + size[None, n:] - both))
+        x, y = at[x], at[n + y]
+        root = roots(len(label), x, y)
+        moved = root != np.arange(len(label))
+        return pd.DataFrame({"a": label[moved], "b": label[root[moved]]})
+
+    dealt = one.unionByName(two).join(sets, "rep")
+    return dealt.groupBy("h", "i", "j").applyInPandas(block, f"a {id_type}, b {id_type}")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS, n_bands: int = BANDS) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -120,10 +166,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
         if turn < ROUNDS:
             candidates = open_.filter(F.col("label") != F.col("pick.label")).select(F.col("rep").alias("a"), F.col("pick.rep").alias("b"))
         else:
-            per_label = open_.groupBy("h", "label").agg(F.count(F.lit(1)).alias("n"))
-            largest = per_label.groupBy("h").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
-            few = open_.select("h", "rep", "label").join(largest, "h").filter("label <> largest").select("h", F.col("rep").alias("a"), F.col("label").alias("of_a"))
-            candidates = few.join(open_.select("h", F.col("rep").alias("b"), F.col("label").alias("of_b")), "h").filter("of_a <> of_b").select("a", "b")
+            few, all_ = remaining(open_, scratch)
+            links.append(scratch.save(tiled(few, all_, sets, percent, id_type), "tiled"))
+            a, b = few.select("h", F.col("rep").alias("a"), F.col("label").alias("of_a"), "f", "g"), all_.select("h", F.col("rep").alias("b"), F.col("label").alias("of_b"))
+            candidates = a.filter(F.col("f") * F.col("g") <= FEW_PAIRS).join(b, "h").filter("of_a <> of_b").select("a", "b")
         links.append(verified(pairs_of(candidates), f"links{turn}"))
 
     known = classes.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("code").alias("c"), F.coalesce("component", "rep").alias("component"))

@@ -25,3 +25,17 @@ def packed(rows: np.ndarray) -> pa.Array:
 
 def unpacked(values, dtype) -> np.ndarray:
     return np.array([np.frombuffer(v, dtype) for v in values])
+
+
+def roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest index that each of n nodes reaches along the links (x, y)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

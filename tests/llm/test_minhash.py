@@ -42,15 +42,24 @@ def corpus(seed=1):
             for _ in range(rng.choice([0, 0, 1, 2, 4])):
                 copy[rng.randrange(len(copy))] = word()
             out.append(rng.choice([" ", "\n", "  "]).join(copy).replace("a", rng.choice("aA")))
+    hub = [word() for _ in range(70)]
+    for _ in range(60):  # copies of which many are no links of each other
+        copy = list(hub)
+        for _ in range(rng.randrange(1, 7)):
+            copy[rng.randrange(len(copy))] = word()
+        out.append(" ".join(copy))
     passage = [word() for _ in range(60)]
     out += [" ".join([word() for _ in range(rng.randrange(30))] + passage + [word() for _ in range(rng.randrange(30))]) for _ in range(40)]
     rng.shuffle(out)
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("rounds", [3, 1])
-def test_components_equal_brute_force(spark, monkeypatch, rounds):
+@pytest.mark.parametrize(("rounds", "pairs", "tile"), [(2, 64, 256), (1, 0, 2), (1, 3, 256)])
+def test_components_equal_brute_force(spark, monkeypatch, rounds, pairs, tile):
     monkeypatch.setattr(minhash_dedup, "ROUNDS", rounds)
+    monkeypatch.setattr(minhash_dedup, "FEW_PAIRS", pairs)
+    monkeypatch.setattr(minhash_dedup, "TILE", tile)
+    monkeypatch.setattr(minhash_dedup, "COLUMNS", 50 * tile)
     docs = corpus() + [(900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (905, "one two three"), (906, "One Two\tThree")]
     got = minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=4)
     assert rows(got, "doc_id", "n_shingles", "component_id", "kept") == brute(docs, 4)
