@@ -1 +1 @@
-"""Part of the engine."""
+"""Column functions: names, texts, validation. All stay inside Spark's own expressions."""

@@ -1,6 +1,6 @@
-"""Queries over the driver's tables and their SQL."""
+"""Queries over the driver's tables, which stand in for the tables of a file store, and their SQL."""
 
-from __future__ import annotations
+from siltstone.plans import activity, entities, health, trees, versions  # noqa: F401
+from siltstone.plans.registry import ORACLES, QUERIES
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

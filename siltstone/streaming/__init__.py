@@ -1 +1 @@
-"""Part of the engine."""
+"""Structured Streaming forms of the forward window."""
