@@ -151,7 +151,7 @@ def json_body(reply: Column) -> Column:
     """The JSON in a reply: what a code fence holds, or else all from the first bracket to the last."""
     fenced = F.regexp_extract(reply, r"(?s)```(?:json)?\s*(.*?)```", 1)
     bare = F.regexp_extract(reply, r"(?s)([\[{].*[\]}])", 1)
-    return F.coalesce(F.nullif(F.trim(fenced), F.lit("")), F.nullif(bare, F.lit("")))
+    return F.coalesce(F.nullif(F.regexp_replace(fenced, r"^\s+|\s+$", ""), F.lit("")), F.nullif(bare, F.lit("")))
 
 
 def content_hash(kind: str, *parts: Column) -> Column:

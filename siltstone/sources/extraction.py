@@ -92,8 +92,8 @@ def read_one(mime: str, content: bytes) -> tuple[str, str | None, str | None]:
             return "ok", None, html_text(content.decode("utf-8", "replace"))
         if mime.startswith("text/"):
             return "ok", None, content.decode("utf-8", "replace")
-    except (zipfile.BadZipFile, ValueError, KeyError) as e:
-        return "skip", "parse_error", str(e)[:200]
+    except (zipfile.BadZipFile, ValueError, KeyError):
+        return "skip", "parse_error", None
     return "skip", "no_extractor", None
 
 

@@ -101,7 +101,8 @@ def encode_days(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def decode_days(files: DataFrame, days: DataFrame) -> DataFrame | None:
     """The day buckets again; None, a cache miss, if a day names a file that is not there."""
-    named = days.select("day", F.explode("ids").alias("file_id"))
-    if not named.join(files, "file_id", "left_anti").isEmpty():
+    named = days.select(F.col("day"), F.explode("ids").alias("named"))
+    own = files.withColumnRenamed("file_id", "own")
+    if not named.join(own, F.col("named") == F.col("own"), "left_anti").isEmpty():
         return None
-    return named.join(files, "file_id")
+    return named.join(own, F.col("named") == F.col("own")).withColumnRenamed("named", "file_id").drop("own")
