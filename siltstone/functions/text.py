@@ -6,8 +6,9 @@ from pyspark.sql import Column, functions as F
 
 #: A job number in brackets: 2 to 10 capitals, then 4 to 14 digits.
 JOB_NUMBER = r"\[([A-Z]{2,10}\d{4,14})\]"
-#: Marks a note that still awaits confirmation.
-CANDIDATE = "[candidate] "
+#: How a note on a new entity is marked, and how a line tells when it expires.
+CANDIDATE = r'^\[new campaign candidate "[^"]*"\] ?'
+EXPIRES = r"\[expires:\s*(\d{4}-\d{2}-\d{2})\s*\]"
 
 
 def collapse(name: Column) -> Column:
@@ -69,8 +70,8 @@ def job_number(name: Column) -> Column:
 
 
 def path_year(path: Column) -> Column:
-    """The deepest segment of a path that is exactly four digits from 1900 to 2099, as an int; else null."""
-    years = F.filter(F.transform(F.split(path, "/"), lambda s: F.trim(s)), lambda s: s.rlike(r"^(19|20)\d{2}$"))
+    """The deepest segment of a path (joined by `` / ``) that is exactly four digits from 1900 to 2099, as an int; else null."""
+    years = F.filter(F.transform(F.split(path, " / "), lambda s: F.trim(s)), lambda s: s.rlike(r"^(19|20)\d{2}$"))
     return F.try_element_at(years, F.lit(-1)).cast("int")
 
 
@@ -110,22 +111,73 @@ def escape_html(text: Column) -> Column:
     return text
 
 
-def mark_candidate(note: Column) -> Column:
-    return F.when(is_candidate(note), note).otherwise(F.concat(F.lit(CANDIDATE), note))
+def candidate_marker(name: Column) -> Column:
+    return F.concat(F.lit('[new campaign candidate "'), name, F.lit('"]'))
 
 
 def is_candidate(note: Column) -> Column:
-    return F.startswith(F.ltrim(note), F.lit(CANDIDATE.strip()))
+    """Whether a note carries the marker of any candidate."""
+    return F.startswith(note, F.lit('[new campaign candidate "'))
 
 
-def strip_candidate(note: Column) -> Column:
-    return F.when(is_candidate(note), F.ltrim(F.substr(F.ltrim(note), F.lit(len(CANDIDATE.strip()) + 1)))).otherwise(note)
+def strip_candidate(note: Column, name: Column) -> Column:
+    """The note without the marker of this candidate; null if it is not marked for it."""
+    prefix = F.concat(candidate_marker(name), F.lit(" "))
+    return F.when(F.startswith(note, prefix), F.substr(note, F.length(prefix) + 1))
 
 
 def unexpired(body: Column, as_of: Column) -> Column:
-    """The lines of a body without those whose ``(expires YYYY-MM-DD)`` lies before ``as_of``."""
-    date = lambda line: F.try_to_date(F.nullif(F.regexp_extract(line, r"\(expires (\d{4}-\d{2}-\d{2})\)", 1), F.lit("")), "yyyy-MM-dd")
-    return F.array_join(F.filter(F.split(body, "\n"), lambda line: F.coalesce(date(line) >= as_of, F.lit(True))), "\n")
+    """The lines of a body that are not blank and do not expire before ``as_of`` (YYYY-MM-DD); null if none is left."""
+    date = lambda line: F.regexp_extract(line, EXPIRES, 1)
+    kept = F.filter(F.split(body, "\n"), lambda line: (F.regexp_replace(line, r"^\s+|\s+$", "") != "") & ((date(line) == "") | (date(line) >= as_of)))
+    return F.nullif(F.array_join(kept, "\n"), F.lit(""))
+
+
+#: The parts of a synthesis, each begun by a line === NAME ===.
+PARTS = ("GENERAL_CONTEXT", "GENERAL_TRANSIENT", "SENSITIVE_CONTEXT", "SENSITIVE_TRANSIENT")
+
+
+def synthesis_parts(reply: Column) -> Column:
+    """struct of the four parts of a synthesis; a reply without any marker is sensitive context as a whole.
+
+    A marker has to be all of its line. Lines before the first marker drop out. A fence around the reply is taken off.
+    """
+    strip = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    bare = strip(F.regexp_replace(strip(reply), r"(?s)\A```(?:markdown)?\s*\n(.*?)\n```\z", "$1"))
+    marker = rf"(?m)^[ \t]*===[ \t]*({'|'.join(PARTS)})[ \t]*===[ \t]*\r?$"
+    # each marker becomes one odd character and its name, so that a split gives the parts in order
+    pieces = F.slice(F.split(F.regexp_replace(bare, marker, "\u0001$1\u0002"), "\u0001"), F.lit(2), F.lit(1 << 20))
+    body = lambda name: strip(F.array_join(F.transform(F.filter(pieces, lambda p: F.startswith(p, F.lit(name + "\u0002"))), lambda p: F.substr(p, F.lit(len(name) + 2))), "\n"))
+    found = F.struct(*(body(name).alias(name.lower()) for name in PARTS))
+    whole = F.struct(*((bare if name == "SENSITIVE_CONTEXT" else F.lit("")).alias(name.lower()) for name in PARTS))
+    return F.when(bare.rlike(marker), found).otherwise(whole)
+
+
+def labelled_lines(pairs: list[tuple[str, Column]]) -> Column:
+    """``label: value`` lines in the order given; null and empty values drop out."""
+    return F.concat_ws("\n", *(F.when(value.cast("string") != "", F.concat(F.lit(label + ": "), value.cast("string"))) for label, value in pairs))
+
+
+#: Prefixes of call tags and the kind of call each stands for.
+CALL_TYPES = {
+    "drive.file_extraction.": "interpret",
+    "drive.distillation.": "distill",
+    "drive.structure_resolution.": "classify",
+    "drive.idea_extraction.": "idea_extract",
+    "drive.idea_match_merge.": "idea_merge",
+    "backfill.status-synthesis": "synthesis",
+    "campaign_merge.": "campaign_merge",
+    "campaign_cluster_detection.": "cluster",
+    "drive.asset_folder.": "asset_folder",
+    "drive.piece_derive.": "piece_derive",
+    "drive.field_heal.": "heal",
+    "drive.new_entity_extraction.": "discover",
+}
+
+
+def call_type(tag: Column) -> Column:
+    """The kind of call of a tag; null for one outside the table."""
+    return F.coalesce(*(F.when(F.startswith(tag, F.lit(prefix)), kind) for prefix, kind in CALL_TYPES.items()))
 
 
 def union_ignoring_case(a: Column, b: Column) -> Column:

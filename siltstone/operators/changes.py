@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siltstone.functions.text import is_candidate, strip_candidate
+from siltstone.functions.text import CANDIDATE, is_candidate
 from siltstone.functions.validate import typed, unchanged, validated
 
 
@@ -46,7 +46,7 @@ def known_facts(notes: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = notes.select("entity_id", F.explode(F.split("body", "\n")).alias("line")).filter(F.startswith(F.trim("line"), F.lit("- ")))
     fact = lines.select("entity_id", F.trim(F.substr(F.trim("line"), F.lit(3))).alias("fact")).filter("fact <> ''").distinct()
     open_ = is_candidate(F.col("fact"))
-    return fact.filter(~open_), fact.filter(open_).withColumn("fact", strip_candidate(F.col("fact")))
+    return fact.filter(~open_), fact.filter(open_).withColumn("fact", F.regexp_replace("fact", CANDIDATE, ""))
 
 
 def change_kinds(changes: DataFrame) -> DataFrame:

@@ -24,6 +24,29 @@ def round_robin(blocks: int) -> list[list[tuple[int, int]]]:
     return rounds
 
 
+def mulberry32(seed: int):
+    """The public-domain generator of that name: numbers in [0, 1) from 32 bits of state."""
+    word, state = 0xFFFFFFFF, seed & 0xFFFFFFFF
+
+    def draw() -> float:
+        nonlocal state
+        state = (state + 0x6D2B79F5) & word
+        t = ((state ^ (state >> 15)) * (state | 1)) & word
+        t ^= (t + (((t ^ (t >> 7)) * (t | 61)) & word)) & word
+        return ((t ^ (t >> 14)) & word) / 2**32
+
+    return draw
+
+
+def shuffled(items: list, seed: int) -> list:
+    """A seeded shuffle of a roster, from the end to the start; rosters fit on the driver."""
+    out, draw = list(items), mulberry32(seed)
+    for i in reversed(range(1, len(out))):
+        j = int(draw() * (i + 1))
+        out[i], out[j] = out[j], out[i]
+    return out
+
+
 def windows(spark: SparkSession, members: int, size: int) -> DataFrame:
     """Rows (schedule, round, window, block): which blocks of size / 2 members share a window; one window if all fit in."""
     blocks = -(-members // max(1, size // 2))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from siltstone.functions.text import job_number
-from siltstone.operators import changes as C, lifecycle as L, matching as M, resolution as R, scores as S
+from siltstone.operators import changes as C, lifecycle as L, matching as M, reports as P, resolution as R, scores as S
 from siltstone.plans.registry import Tables, query
 
 NOW = "1997-06-15"
@@ -78,7 +78,7 @@ def vote_tally(t: Tables) -> DataFrame:
 
 @query("""SELECT o_custkey AS cluster, CAST(year(o_orderdate) AS INT) AS year, count(*) AS members, min(o_orderkey) AS first FROM orders GROUP BY 1, 2 HAVING count(*) >= 2""")
 def year_gate(t: Tables) -> DataFrame:
-    members = t.orders.select(F.col("o_custkey").alias("cluster"), F.col("o_orderkey").alias("id"), F.concat(F.lit("Work/"), F.year("o_orderdate").cast("string"), F.lit("/x")).alias("path"))
+    members = t.orders.select(F.col("o_custkey").alias("cluster"), F.col("o_orderkey").alias("id"), F.concat(F.lit("Work / "), F.year("o_orderdate").cast("string"), F.lit(" / x")).alias("path"))
     return R.year_gate(members)
 
 
@@ -306,3 +306,49 @@ def completed_turns(t: Tables) -> DataFrame:
 
     prompts = t.conversations.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), F.lit("interpret").alias("step"), F.col("text").alias("prompt"))
     return complete(prompts)
+
+
+@query("SELECT o_custkey AS account_id, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1")
+def pending_by_account(t: Tables) -> DataFrame:
+    return P.pending_by_account(t.orders.select(F.col("o_custkey").alias("account_id"), F.when(F.col("o_orderstatus") == "P", "pending").otherwise("applied").alias("state")))
+
+
+@query("SELECT l_suppkey AS bucket, count(*) AS observations, count(DISTINCT l_partkey) AS files, min(l_partkey) AS first_file FROM lineitem GROUP BY 1")
+def bucket_counts(t: Tables) -> DataFrame:
+    return P.buckets(t.lineitem.select(F.col("l_suppkey").alias("bucket"), F.col("l_partkey").alias("file_id")))
+
+
+@query("""SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM events WHERE json_extract_string(props, '$.k') = CAST(p_partkey AS VARCHAR) AND event_type = 'error')""")
+def unlogged_diagnostics(t: Tables) -> DataFrame:
+    diagnostics = t.part.select("p_partkey", F.col("p_partkey").cast("string").alias("key"))
+    return P.unlogged(diagnostics, t.events.filter("event_type = 'error'").select(F.col("props").alias("payload")), "$.k").select("p_partkey")
+
+
+@query("""SELECT CASE WHEN event_type = 'error' OR user_id % 11 = 0 THEN 'bootstrap_required' WHEN user_id % 7 = 0 THEN 'failed' WHEN value < 5 THEN 'no_changes' WHEN event_type = 'click' THEN 'skipped_in_flight' ELSE 'dispatched' END AS outcome, count(*) AS n FROM events GROUP BY 1""")
+def poll_outcomes(t: Tables) -> DataFrame:
+    kind = F.col("event_type")
+    outcome = P.poll_outcome(F.when(F.col("user_id") % 11 != 0, "t"), kind == "error", F.col("user_id") % 7 == 0, F.when(F.col("value") < 5, 0).otherwise(1), kind == "click")
+    return t.events.select(outcome.alias("outcome")).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH k AS (SELECT 'c' || (p_partkey % 300) AS id, p_partkey, 1 AS rank, p_size AS v FROM part UNION ALL SELECT 'c' || (s_suppkey % 300), s_suppkey, 2, s_nationkey FROM supplier)
+  SELECT id, arg_max(v, (rank, p_partkey)) AS v FROM k GROUP BY id""")
+def collision_override(t: Tables) -> DataFrame:
+    from siltstone.operators.versions import latest
+
+    one = t.part.select(F.concat(F.lit("c"), (F.col("p_partkey") % 300).cast("string")).alias("id"), F.col("p_partkey").alias("key"), F.lit(1).alias("rank"), F.col("p_size").alias("v"))
+    two = t.supplier.select(F.concat(F.lit("c"), (F.col("s_suppkey") % 300).cast("string")).alias("id"), F.col("s_suppkey").alias("key"), F.lit(2).alias("rank"), F.col("s_nationkey").alias("v"))
+    return latest(one.unionByName(two), ["id"], ["rank", "key"]).select("id", "v")
+
+
+@query("""SELECT doc_id, nullif(array_to_string(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9)) <> '' AND (length(x) % 3 <> 0 OR length(x) >= 90)), chr(10)), '') IS NOT NULL AS left_over,
+  len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9)) <> '' AND (length(x) % 3 <> 0 OR length(x) >= 90))) AS n FROM documents WHERE text IS NOT NULL""")
+def expiry_prune(t: Tables) -> DataFrame:
+    """Every third short line of a document is made to expire before the date asked for."""
+    from siltstone.functions.text import unexpired
+
+    expires = lambda x: F.when((F.length(x) % 3 == 0) & (F.length(x) < 90), F.concat(x, F.lit(" [expires: 2024-01-31]"))).when(F.length(x) % 2 == 0, F.concat(x, F.lit(" [expires: 2024-02-01]"))).otherwise(x)
+    blank = lambda x: F.regexp_replace(x, "^[ \t]+$", "")
+    body = F.array_join(F.transform(F.filter(F.split("text", "\n"), lambda x: blank(x) != ""), expires), "\n")
+    left = t.documents.filter("text IS NOT NULL").select("doc_id", unexpired(body, F.lit("2024-02-01")).alias("left"))
+    return left.select("doc_id", F.col("left").isNotNull().alias("left_over"), F.when(F.col("left").isNull(), 0).otherwise(F.size(F.split("left", "\n"))).cast("long").alias("n"))

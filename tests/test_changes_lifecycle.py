@@ -45,7 +45,7 @@ def test_pending_duplicates(spark):
 
 
 def test_facts_worklist_and_new_entities(spark):
-    facts, candidates = C.known_facts(spark.createDataFrame([("e", "- one\n- [candidate] two\ntext\n- one\n- ")], "entity_id string, body string"))
+    facts, candidates = C.known_facts(spark.createDataFrame([("e", '- one\n- [new campaign candidate "X"] two\ntext\n- one\n- ')], "entity_id string, body string"))
     assert [r.fact for r in facts.collect()] == ["one"] and [r.fact for r in candidates.collect()] == ["two"]
     work = spark.createDataFrame([("a", "f1", "open", D(2024, 1, 1), D(2024, 1, 1)), ("a", "f2", "open", D(2024, 1, 1), D(2024, 1, 1))], "account string, file_id string, status string, first_seen timestamp, last_seen timestamp")
     seen = spark.createDataFrame([("a", "f1", False), ("a", "f2", True), ("a", "f3", False), ("a", "f4", True)], "account string, file_id string, ok boolean")
