@@ -25,7 +25,7 @@ from siltstone.sources.scratch import Scratch
 #: A match that ends this close to the end of a cut text may end elsewhere in the whole text.
 LOOKAHEAD = 4
 #: Distinct pieces that a task remembers; beyond it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 
 class Codec:

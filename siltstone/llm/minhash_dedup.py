@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from siltstone.llm.vectors import roots
-from siltstone.llm.words import MULTIPLIER, mixed, shingles
+from siltstone.llm.words import HASHES, MULTIPLIER, mixed, shingles
 from siltstone.operators.components import components
 from siltstone.sources.scratch import Scratch
 
@@ -122,6 +122,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
                 codes.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
                 hashes.append(bands(signature(s, factors, terms), rows) if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(codes, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))], names=["id", "n", "code", "bands"])
+        HASHES.clear()  # a worker that lives on keeps nothing
 
     sketches = scratch.save(docs.mapInArrow(sketch, f"id {id_type}, n long, code binary, bands array<long>"), "sketches")
     classes = scratch.save(sketches.filter("code IS NOT NULL").groupBy("code").agg(F.min("id").alias("rep")), "classes")
@@ -135,6 +136,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
         for batch in batches:
             sets = pa.array([shingles(t.as_py(), shingle).astype(np.int64) for t in batch.column("text")], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), sets], names=["rep", "set"])
+        HASHES.clear()
 
     wanted = members.select(F.col("rep").alias("id")).distinct()
     sets = scratch.save(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(shingled, f"rep {id_type}, set array<long>"), "sets")

@@ -71,7 +71,7 @@ class Shapes(dict):
         shape = word[:200]
         for pattern, by in self.runs:
             shape = pattern.sub(by, shape)
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = zlib.crc32(shape.encode("utf-8", "replace"))
         return h
@@ -196,6 +196,7 @@ def score(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshold: fl
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series([1 - shared.value.poor(t) for t in part], dtype=float)
+        SHAPES.clear()
 
     found = docs.withColumn("_found", run(F.col(text_col).cast("string")))
     return found.select(*docs.columns, F.col("_found").alias(prefix + "quality"), (F.col("_found") <= 1 - threshold).alias(prefix + "rejected"))

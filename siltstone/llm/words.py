@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+#: Distinct words that a task remembers.
+REMEMBERED = 250_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 FINISH = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -13,7 +15,7 @@ class WordHashes(dict):
     """Hash of each distinct word, worked out once; starts anew when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 2_000_000:
+        if len(self) > REMEMBERED:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
