@@ -177,3 +177,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 102
     joined = v.select("id", "group", "code").join(result.withColumnsRenamed({"group": "g", "code": "c"}), (F.col("group") == F.col("g")) & (F.col("code") == F.col("c")), "left")
     component = F.coalesce("component", "rep", "id")
     return joined.select(F.col("id").alias(id_col), F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+
+
+#: The same rows by comparing all vectors of a label.
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_dot_product(x.e, y.e) / (sqrt(list_dot_product(x.e, x.e)) * sqrt(list_dot_product(y.e, y.e))) >= 0.93
+), n AS (
+  SELECT a, count(*) AS n FROM pairs GROUP BY a
+), reach(node, top) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT node, b FROM reach JOIN pairs ON a = top
+), component AS (
+  SELECT node, min(top) AS component_id FROM reach GROUP BY node
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN component ON node = vec_id LEFT JOIN n ON a = vec_id
+"""

@@ -70,4 +70,4 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
-ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE, "op3_embedding_dedup": embedding_dedup.ORACLE, "op9_minhash_dedup": minhash_dedup.ORACLE}

@@ -178,3 +178,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
     found = sketches.select("id", "n", "code").join(known, F.col("code") == F.col("c"), "left")
     component = F.coalesce("component", "id")
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+
+
+#: The same rows by comparing all documents that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS shingle FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), pairs AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach(node, top) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT node, b FROM reach JOIN pairs ON a = top
+), component AS (
+  SELECT node, min(top) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM documents JOIN component ON node = doc_id LEFT JOIN n USING (doc_id)
+"""
