@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, neighbours, ppm, quality, sharding, token_counts
+from siltstone.llm.batches import in_small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    in_small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
