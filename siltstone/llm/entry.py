@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, neighbours, ppm, quality, sharding, token_counts
+from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, neighbours, quality, running, sharding, token_counts
 from siltstone.llm.batches import in_small_batches
 
 
@@ -56,7 +56,7 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
-    return ppm.score(table(spark, sf_dir, "documents"), held_out=held_out)
+    return running.score(table(spark, sf_dir, "documents"), held_out=held_out)
 
 
 QUERIES = {
