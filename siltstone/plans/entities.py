@@ -280,12 +280,18 @@ def merge_loop(t: Tables) -> DataFrame:
 
 @query()
 def derived_pieces(t: Tables) -> DataFrame:
-    """Lines of an order as executions of an account; parts as known pieces."""
-    found = t.lineitem.select(
-        (F.col("l_suppkey") % 50).cast("string").alias("account"), (F.col("l_orderkey") * 1000 + F.col("l_linenumber") * 10 + F.col("l_partkey") % 10).alias("position"), F.concat(F.lit("part "), (F.col("l_partkey") % 300).cast("string")).alias("name"),
-        F.when(F.col("l_partkey") % 7 == 0, F.concat(F.lit("JOB"), (F.col("l_partkey") % 90 + 1000).cast("string"))).alias("job_number"), F.when(F.col("l_partkey") % 5 == 0, F.concat(F.lit("p"), (F.col("l_partkey") % 200).cast("string"))).alias("match_id"), ((F.col("l_partkey") % 100) / 100.0).cast("double").alias("confidence"),
-    ).dropDuplicates(["account", "position"])
-    pieces = t.part.filter("p_partkey < 200").select((F.col("p_partkey") % 50).cast("string").alias("account"), F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("piece_id"), F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("name"), F.when(F.col("p_partkey") % 11 == 0, F.concat(F.lit("JOB"), (F.col("p_partkey") + 1000).cast("string"))).alias("job_number"))
+    """Order lines as executions of the order's customer; parts as known pieces of the customer who ordered them first."""
+    from pyspark.sql import Window
+
+    part = F.col("l_partkey").cast("string")
+    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("account"), "o_orderdate"), "l_orderkey")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    found = lines.select(
+        "account", F.row_number().over(Window.partitionBy("account").orderBy(*order)).cast("long").alias("position"), F.concat(F.lit("part "), part).alias("name"),
+        F.when(F.col("l_partkey") % 7 == 0, F.concat(F.lit("JOB"), (F.col("l_partkey") + 1000).cast("string"))).alias("job_number"), F.when(F.col("l_partkey") % 5 == 0, F.concat(F.lit("p"), part)).alias("match_id"), ((F.col("l_partkey") % 100) / 100.0).cast("double").alias("confidence"),
+    )
+    first = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min_by("account", F.struct("o_orderdate", "l_orderkey")).alias("account"))
+    pieces = t.part.join(first, "p_partkey", "left").select("account", F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("piece_id"), F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("name"), F.when(F.col("p_partkey") % 11 == 0, F.concat(F.lit("JOB"), (F.col("p_partkey") + 1000).cast("string"))).alias("job_number"))
     return R.derived_pieces(found, pieces)
 
 
