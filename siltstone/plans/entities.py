@@ -298,10 +298,10 @@ def derived_pieces(t: Tables) -> DataFrame:
 @query()
 def extract_texts(t: Tables) -> DataFrame:
     """Pages through the extraction dispatch: kinds, reasons and lengths."""
-    from siltstone.sources.extraction import extract
+    from siltstone.sources.extraction import MAX_BYTES, extract
 
     files = t.pages.select(F.col("page_id").cast("string").alias("id"), F.when(F.col("page_id") % 9 == 0, "application/zip").otherwise("text/html").alias("mime_type"), F.octet_length("html").cast("long").alias("size"), F.lit(False).alias("is_folder"), F.lit(None).cast("struct<id:string,mime_type:string>").alias("shortcut"), F.col("html").cast("binary").alias("content"))
-    return extract(files, max_bytes=20_000).select("id", "kind", "reason", F.length("text").alias("n_chars"))
+    return extract(files, max_bytes=MAX_BYTES).select("id", "kind", "reason", F.length("text").alias("n_chars"))
 
 
 @query()

@@ -23,6 +23,8 @@ MIME = {
     "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
     "pptx": "application/vnd.openxmlformats-officedocument.presentationml.presentation",
 }
+#: Fixed value: the largest file that is read.
+MAX_BYTES = 314_572_800
 NATIVE, DOWNLOADED = ("doc", "slides", "sheet"), ("pdf", "docx", "pptx")
 
 
