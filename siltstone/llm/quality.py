@@ -62,13 +62,24 @@ def votes(text: str | None) -> str:
     ))
 
 
+#: Characters of a word that make one shape.
+LONGEST = 200
+
+
+def in_slices(words: list[str]) -> list[str]:
+    """``words`` with long ones in slices, so that all of a text without white space counts and a shape stays small."""
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+
+
 class Shapes(dict):
     """The hash of a word's shape, worked out once per distinct word of a task."""
 
     runs = ((re.compile(r"[^\W\d_]+"), lambda m: "A" if m[0].isupper() else "Aa" if m[0][0].isupper() else "a"), (re.compile(r"\d+"), "0"))
 
     def __missing__(self, word: str) -> int:
-        shape = word[:200]
+        shape = word
         for pattern, by in self.runs:
             shape = pattern.sub(by, shape)
         if len(self) > 200_000:
@@ -82,7 +93,7 @@ SHAPES = Shapes()
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and values of the shapes of words and of pairs of words, scaled to length 1."""
-    words = text.split()
+    words = in_slices(text.split())
     shape = np.fromiter(map(SHAPES.__getitem__, words), np.uint32, len(words))
     shape[1:] += np.fromiter(map(operator.eq, words, words[1:]), bool, max(0, len(words) - 1)) * np.uint32(0x51ED270B)
     both = np.concatenate([shape, shape[1:] * np.uint32(31) + shape[:-1]])
