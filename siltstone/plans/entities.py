@@ -254,11 +254,9 @@ def paired_comparison(t: Tables) -> DataFrame:
     count(*) FILTER (WHERE NOT creates AND (key IS NULL OR target.k IS NULL)) AS unscored, count(*) FILTER (WHERE creates AND key IS NOT NULL AND earlier > 0) AS missed FROM j GROUP BY account)
   SELECT *, round(false_merges / nullif(correct + false_merges, 0), 9) AS false_merge_rate FROM c""")
 def merge_scoring(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     decisions = t.lineitem.select(
-        F.col("l_returnflag").alias("account"), F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order)).alias("position"), F.concat(F.lit("k"), (F.col("l_suppkey") % 40).cast("string")).alias("cluster"),
+        F.col("l_returnflag").alias("account"), F.struct(*order).alias("position"), F.concat(F.lit("k"), (F.col("l_suppkey") % 40).cast("string")).alias("cluster"),
         F.when(F.col("l_linenumber") == 1, "create").otherwise("merge").alias("action"), F.when(F.col("l_partkey") % 9 > 0, F.col("l_partkey") % 50).alias("key"),
     )
     return S.merge_score(decisions).withColumn("false_merge_rate", F.round("false_merge_rate", 9))
