@@ -49,8 +49,12 @@ class Scratch:
         for name in names:
             delete(self.spark, f"{self.root}/{name}")
 
+    def clear(self) -> None:
+        """Deletes all tables at once; nothing may still read them."""
+        delete(self.spark, self.root)
+
     def _clear(self) -> None:
         try:
-            delete(self.spark, self.root)
+            self.clear()
         except Exception:  # the session may be gone by now
             pass
