@@ -3,7 +3,8 @@
 Everything on the path is DataFrame code. The texts are read once, to measure them. The fractional repetition of a
 source is the start of its documents in the order of a seeded hash, as far as the words still wanted reach. That
 point is found by sums over the first and then the second byte of the hash, so no task ever sees more of a source
-than one 65,536th of it in order.
+than one 65,536th of it in order. It is one value a source, so what becomes of a document follows from the document
+and a row of its source: the mix shuffles no texts and joins nothing by id.
 """
 
 from __future__ import annotations
@@ -36,68 +37,100 @@ def fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFrame:
     return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level or 0.0)))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, max_epochs: int = 3, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, ``source``, ``size`` (words), ``source_size``, ``target``, ``repeats``, ``taken``.
+def code(id_: Column, text: Column, seed: int) -> Column:
+    """The place of a document in the seeded order of its source: a hash of id and text."""
+    parts = (F.coalesce(id_.cast("string"), F.lit("")), F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+    return F.md5(F.concat_ws(":", F.lit(seed), *parts).cast("binary"))
+
+
+def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, max_epochs: int = 3, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """One row per source: ``of``, ``source_size``, ``target``, ``whole`` repetitions, and ``last``, the code up to which documents come once more.
 
     Sources in order of code points, null last, weigh as ``weights`` says, over and over; together they are to take
-    ``share`` of all words. ``repeats`` says how often the mix takes the document, at most ``max_epochs`` times, and
-    ``taken`` is ``repeats * size``. Each source comes within half a document of its target. Documents without words
-    (null or empty text) have size 0 and are taken 0 words; a source without words has target 0. Null is a source of
-    its own. Of rows that are equal in id and size any may be the one taken once more.
+    ``share`` of all words, none more than ``max_epochs`` times its own. Null is a source of its own; one without words
+    has target 0; an empty table gives no rows. ``last`` is null where nothing comes once more. It is found by sums over
+    the first and then the second byte of the codes; only within that cell, a 65,536th of a source, are codes sorted,
+    and equal codes are one row before that.
     """
-    scratch = Scratch(docs.sparkSession)
-    code = F.md5(F.concat_ws(":", F.lit(seed), F.col("id").cast("string")).cast("binary"))
-    sized = scratch.save(
-        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")).withColumn("code", code).withColumn("first", F.substring("code", 1, 2)).withColumn("second", F.substring("code", 3, 2)),
-        "sized",
-    )
+    sized = docs.select(F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), code(F.col(id_col), F.col(text_col), seed).alias("code"))
+    return _plan(Scratch(docs.sparkSession), sized, weights, share, max_epochs)
+
+
+def _plan(scratch: Scratch, sized: DataFrame, weights: tuple[int, ...], share: float, max_epochs: int) -> DataFrame:
+    steps = Scratch(sized.sparkSession)
+    sized = steps.save(sized.select("source", "size", "code", F.substring("code", 1, 2).alias("first"), F.substring("code", 3, 2).alias("second")), "sized")
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    sources = scratch.save(sized.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("weight", weight), "sources")
+    sources = steps.save(sized.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("weight", weight), "sources")
     budget = share * (sources.agg(F.sum("source_size")).first()[0] or 0)
-    targets = scratch.save(
+    targets = steps.save(
         fill(sources, budget, max_epochs)
-        .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
+        .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
         .select(F.col("source").alias("of"), "source_size", "target", "whole", "rest"),
         "targets",
     )
 
-    def cut(sums: DataFrame, byte: str) -> DataFrame:
-        """The value of ``byte`` at which the words of each source run over ``rest``, and what is left of it there."""
-        so_far = F.sum("words").over(Window.partitionBy("source").orderBy(byte).rowsBetween(Window.unboundedPreceding, 0))
-        over = sums.withColumn("so_far", so_far).filter("so_far > rest").groupBy("source").agg(F.min_by(F.struct(F.col(byte), (F.col("rest") - F.col("so_far") + F.col("words")).alias("rest")), byte).alias("at"))
-        return over.select(F.col("source").alias("of"), F.col(f"at.{byte}").alias(f"cut_{byte}"), F.col("at.rest").alias(f"rest_{byte}"))
+    def cut(sums: DataFrame, part: str) -> DataFrame:
+        """The value of ``part`` at which the words of each source run over ``rest``, and what is left of it there."""
+        so_far = F.sum("words").over(Window.partitionBy("source").orderBy(part).rowsBetween(Window.unboundedPreceding, 0))
+        over = sums.withColumn("so_far", so_far).filter("so_far > rest").groupBy("source").agg(F.min_by(F.struct(F.col(part), (F.col("rest") - F.col("so_far") + F.col("words")).alias("rest")), part).alias("at"))
+        return steps.save(over.select(F.col("source").alias("of"), F.col(f"at.{part}").alias(f"cut_{part}"), F.col("at.rest").alias(f"rest_{part}")), f"cut-{part}")
 
     same = F.col("source").eqNullSafe(F.col("of"))
     one = cut(sized.groupBy("source", "first").agg(F.sum("size").alias("words")).join(targets.select("of", "rest"), same).drop("of"), "first")
-    at_one = sized.join(one, same & (F.col("first") == F.col("cut_first")))
+    at_one = sized.join(one, same & (F.col("first") == F.col("cut_first"))).drop("of")
     two = cut(at_one.groupBy("source", "second").agg(F.sum("size").alias("words"), F.first("rest_first").alias("rest")), "second")
-    cuts = scratch.save(
-        targets.alias("t").join(one.alias("a"), F.expr("t.of <=> a.of"), "left").join(two.alias("b"), F.expr("t.of <=> b.of"), "left")
-        .select("t.*", "cut_first", "cut_second", "rest_second"),
-        "cuts",
+    cell = at_one.join(two, same & (F.col("second") == F.col("cut_second"))).groupBy("source", "code").agg(F.sum("size").alias("words"), F.first("rest_second").alias("rest"))
+    so_far = F.sum("words").over(Window.partitionBy("source").orderBy("code").rowsBetween(Window.unboundedPreceding, 0))
+    inside = cell.withColumn("so_far", so_far).filter("so_far - words / 2 <= rest").groupBy("source").agg(F.max("code").alias("within"))
+    before = F.concat("cut_first", "cut_second")  # sorts before all codes of the cell and after those of earlier cells
+    last = F.when(F.col("cut_first").isNull() & (F.col("rest") > 0), "g").otherwise(F.coalesce("within", before))
+    found = (
+        targets.alias("t").join(one.alias("a"), F.expr("t.of <=> a.of"), "left").join(two.alias("b"), F.expr("t.of <=> b.of"), "left").join(inside.alias("c"), F.expr("t.of <=> c.source"), "left")
+        .select("t.of", "source_size", F.round("target", 6).alias("target"), "whole", last.alias("last"))
     )
-    placed = sized.join(cuts, same)
-    cell = (F.col("first") == F.col("cut_first")) & (F.col("second") == F.col("cut_second"))
-    early = (F.col("first") < F.col("cut_first")) | ((F.col("first") == F.col("cut_first")) & (F.col("second") < F.col("cut_second")))
-    in_cell = F.coalesce(cell, F.lit(False))
-    so_far = F.sum("size").over(Window.partitionBy("source").orderBy("code", "size").rowsBetween(Window.unboundedPreceding, 0))
-    in_part = placed.filter(~in_cell).withColumn("once_more", F.coalesce(early, F.col("cut_first").isNull() & (F.col("rest") > 0)))
-    split = placed.filter(in_cell).withColumn("once_more", so_far - F.col("size") / 2 <= F.col("rest_second"))
-    repeats = F.col("whole").cast("long") + F.col("once_more").cast("long")
-    return in_part.unionByName(split).select(F.col("id").alias(id_col), "source", "size", "source_size", F.round("target", 6).alias("target"), F.when(F.col("size") > 0, repeats).otherwise(0).alias("repeats"), (F.col("size") * repeats).alias("taken"))
+    found = scratch.save(found, "plan")
+    steps.clear()
+    return found
+
+
+def repeats(size_is_positive: Column) -> Column:
+    """How often a row with the columns of a plan is taken."""
+    return F.when(size_is_positive, F.col("whole") + F.coalesce(F.col("code") <= F.col("last"), F.lit(False)).cast("long")).otherwise(0)
 
 
-def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as ``mixed`` says. ``docs`` has to have unique ids."""
-    times = mixed.filter("repeats > 0").select(F.col(id_col).alias("of"), "repeats")
-    return docs.join(times, F.col(id_col) == F.col("of")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(*docs.columns)
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, max_epochs: int = 3, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, ``source``, ``size`` (words), ``source_size``, ``target``, ``repeats``, ``taken``.
+
+    Targets are those of ``plan``. ``repeats`` says how often the mix takes the document, at most ``max_epochs`` times, and
+    ``taken`` is ``repeats * size``. Each source comes within half a document of its target. Documents without words
+    (null or empty text) have size 0 and are taken 0 words. Null ids are kept. Rows that are equal in id, text and source
+    are one document here: they come once more together, if that brings the source nearer its target.
+    """
+    scratch = Scratch(docs.sparkSession)
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), code(F.col(id_col), F.col(text_col), seed).alias("code"))
+    sized = scratch.save(sized, "sized")
+    planned = sized.join(_plan(scratch, sized, weights, share, max_epochs), F.col("source").eqNullSafe(F.col("of")))
+    return planned.withColumn("repeats", repeats(F.col("size") > 0)).select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+def repeat(docs: DataFrame, planned: DataFrame, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as the plan made from them says; texts stay where they are.
+
+    A row's place follows from the row and the plan of its source, so no text meets a decision by its id. Rows without
+    words are left out; further columns may have any name.
+    """
+    row = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("row")
+    text = F.col(text_col).cast("string")
+    placed = docs.select(row, F.col(source_col).alias("source"), code(F.col(id_col), text, seed).alias("code"), F.coalesce(text.rlike(WORD), F.lit(False)).alias("some"))
+    taken = placed.join(planned, F.col("source").eqNullSafe(F.col("of"))).withColumn("repeats", repeats(F.col("some"))).filter("repeats > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))).select("row.*")
 
 
 ORACLE = r"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5('7:' || CAST(doc_id AS VARCHAR)) AS code FROM documents
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS code FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS DOUBLE) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sized GROUP BY source
 ), ranked AS (
@@ -109,9 +142,9 @@ WITH sized AS (
   SELECT source, source_size, least(3 * source_size, weight * level) AS target FROM sources, level
 ), placed AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
-    sum(size) OVER (PARTITION BY sized.source ORDER BY code, size ROWS UNBOUNDED PRECEDING) AS so_far
+    sum(size) OVER (PARTITION BY sized.source ORDER BY code RANGE UNBOUNDED PRECEDING) AS so_far, sum(size) OVER (PARTITION BY sized.source, code) AS tied
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, round(target, 6) AS target,
-  CAST(size * (whole + CASE WHEN so_far - size / 2 <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM placed
+  CAST(size * (whole + CASE WHEN so_far - tied / 2 <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM placed
 """
