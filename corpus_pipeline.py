@@ -29,20 +29,17 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of documents that share at least 0.8 of their five-word shingles.
+    """Keeps one row of each group of documents that share at least 0.8 of their five-word shingles: that with the smallest id.
 
-    Of rows that repeat an id one stays; rows without an id go.
+    Rows without id or with an id that others have too are documents like all others; of rows that repeat both id and text one stays.
     """
     in_small_batches(spark)
-    found = Scratch(spark).save(minhash_dedup.near_duplicates(docs, shingle=5).filter("kept").select(F.col("doc_id").alias("_kept")), "kept")
-    left = docs.join(found, F.col("doc_id") == F.col("_kept"), "left_semi")
-    repeated = not found.groupBy("_kept").count().filter("count > 1").isEmpty()
-    return left.dropDuplicates(["doc_id"]) if repeated else left
+    return minhash_dedup.deduplicated(docs, shingle=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mix wants it."""
-    return mixing.repeat(docs, Scratch(spark).save(mixing.mix(docs).select("doc_id", "repeats"), "mixed"))
+    return mixing.repeat(docs, mixing.plan(docs))
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
