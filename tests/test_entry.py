@@ -21,3 +21,11 @@ def test_the_rest_stands_alone(tmp_path):
     assert said.returncode == 0, said.stderr
     n, ops, pipeline = said.stdout.split()
     assert int(n) > 60 and ops == "0" and pipeline == "False"
+
+
+def test_a_missing_library_takes_only_the_training_text_along():
+    script = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", script], cwd=REPO, capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr
+    n, pipeline, oracles = said.stdout.split()
+    assert int(n) > 60 and pipeline == "False" and int(oracles) > 60
