@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-#: A job number in brackets: 2 to 10 capitals, then 4 to 14 digits.
+#: Fixed value: a job number in brackets, 2 to 10 capitals, then 4 to 14 digits.
 JOB_NUMBER = r"\[([A-Z]{2,10}\d{4,14})\]"
 #: How a note on a new entity is marked, and how a line tells when it expires.
 CANDIDATE = r'^\[new campaign candidate "[^"]*"\] ?'
@@ -27,14 +31,32 @@ def plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-#: Letters with marks and what stands for them once the marks are off.
-MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
-UNMARKED = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+def bare(text: str) -> str:
+    """The text in compatibility decomposition, without marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c)[0] != "M")
+
+
+@F.pandas_udf(StringType())
+def _bare(texts: pd.Series) -> pd.Series:
+    return texts.map(bare, na_action="ignore")
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _bare_each(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda texts: [None if t is None else bare(t) for t in texts], na_action="ignore")
 
 
 def unaccented(text: Column) -> Column:
-    """``plain`` without accents of Latin letters, whether composed or as combining marks."""
-    return plain(F.regexp_replace(F.translate(F.lower(text), MARKED, UNMARKED), r"\p{M}+", ""))
+    """``plain`` without accents and with compatibility forms (ligatures, full-width letters) resolved.
+
+    Spark has no Unicode normalisation, so texts beyond ASCII go through Python; of all others only a null does.
+    """
+    return plain(F.coalesce(_bare(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text))
+
+
+def unaccented_each(texts: Column) -> Column:
+    """``unaccented`` for the elements of an array."""
+    return F.transform(_bare_each(texts), plain)
 
 
 def trigrams(normalised: Column) -> Column:
@@ -96,9 +118,9 @@ def tail(text: Column, lines: int = 40, chars: int = 2000) -> Column:
 
 
 def section(document: Column, heading: str) -> Column:
-    """The body under ``## heading`` up to the next heading of that level, trimmed; null if there is none."""
+    """The body under ``## heading`` up to the next heading of that level, trimmed; null if there is none or it is empty."""
     found = F.regexp_extract(document, rf"(?ms)^##[ \t]+\Q{heading}\E[ \t]*$\n?(.*?)(?=^##[ \t]|\z)", 1)
-    return F.when(document.rlike(rf"(?m)^##[ \t]+\Q{heading}\E[ \t]*$"), F.regexp_replace(found, r"^\s+|\s+$", ""))
+    return F.when(document.rlike(rf"(?m)^##[ \t]+\Q{heading}\E[ \t]*$"), F.nullif(F.regexp_replace(found, r"^\s+|\s+$", ""), F.lit("")))
 
 
 def bullets(items: Column) -> Column:
@@ -140,16 +162,20 @@ PARTS = ("GENERAL_CONTEXT", "GENERAL_TRANSIENT", "SENSITIVE_CONTEXT", "SENSITIVE
 def synthesis_parts(reply: Column) -> Column:
     """struct of the four parts of a synthesis; a reply without any marker is sensitive context as a whole.
 
-    A marker has to be all of its line. Lines before the first marker drop out. A fence around the reply is taken off.
+    A marker has to be all of its line. Lines before the first marker drop out. A fence around the reply is taken off, and
+    from each part its own fence, a heading ``Context`` at its start, and a section ``At a glance`` there.
     """
-    strip = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
-    bare = strip(F.regexp_replace(strip(reply), r"(?s)\A```(?:markdown)?\s*\n(.*?)\n```\z", "$1"))
+    strip = lambda c: F.regexp_replace(c, r"\A\s+|\s+\z", "")
+    unfenced = lambda c: strip(F.regexp_replace(strip(c), r"(?s)\A```(?:markdown)?\s*\n(.+?)\n```\z", "$1"))
+    headless = lambda c: strip(F.regexp_replace(c, r"\A##\s+Context\s*\n", ""))
+    tidy = lambda c: headless(strip(F.regexp_replace(headless(unfenced(c)), r"(?s)\A##\s+At a glance.*?(?=\n##\s|\z)", "")))
+    bare = unfenced(reply)
     marker = rf"(?m)^[ \t]*===[ \t]*({'|'.join(PARTS)})[ \t]*===[ \t]*\r?$"
     # each marker becomes one odd character and its name, so that a split gives the parts in order
     pieces = F.slice(F.split(F.regexp_replace(bare, marker, "\u0001$1\u0002"), "\u0001"), F.lit(2), F.lit(1 << 20))
-    body = lambda name: strip(F.array_join(F.transform(F.filter(pieces, lambda p: F.startswith(p, F.lit(name + "\u0002"))), lambda p: F.substr(p, F.lit(len(name) + 2))), "\n"))
+    body = lambda name: tidy(F.array_join(F.transform(F.filter(pieces, lambda p: F.startswith(p, F.lit(name + "\u0002"))), lambda p: F.substr(p, F.lit(len(name) + 2))), "\n"))
     found = F.struct(*(body(name).alias(name.lower()) for name in PARTS))
-    whole = F.struct(*((bare if name == "SENSITIVE_CONTEXT" else F.lit("")).alias(name.lower()) for name in PARTS))
+    whole = F.struct(*((tidy(bare) if name == "SENSITIVE_CONTEXT" else F.lit("")).alias(name.lower()) for name in PARTS))
     return F.when(bare.rlike(marker), found).otherwise(whole)
 
 

@@ -22,9 +22,10 @@ FIELDS = {
         "ends_at": ("date", None),
     },
 }
+#: What such a field looks like.
 PATTERNS = {
     "uuid": r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    "email": r"^[A-Za-z0-9_+.'-]*[A-Za-z0-9_+-]@([A-Za-z0-9][A-Za-z0-9-]*\.)+[A-Za-z]{2,}$",
+    "email": r"^(?!\.)(?!.*\.\.)[A-Za-z0-9_+.'-]*[A-Za-z0-9_+-]@([A-Za-z0-9][A-Za-z0-9-]*\.)+[A-Za-z]{2,}$",
     "date": r"^\d{4}-\d{2}-\d{2}$",
 }
 

@@ -95,11 +95,25 @@ def exit_code(queue: DataFrame) -> DataFrame:
 
 
 #: Signs of a failure that may pass.
-TRANSIENT_STATUS = (408, 425, 429, 500, 502, 503, 504)
-TRANSIENT_CODES = ("ECONNRESET", "ETIMEDOUT", "ECONNREFUSED", "EPIPE", "EAI_AGAIN", "ENOTFOUND")
-TRANSIENT_TEXT = r"(?i)rate limit|quota|timed? ?out|socket hang up|temporarily unavailable|overloaded"
+SOCKET_CODES = ("ECONNRESET", "ETIMEDOUT", "ECONNREFUSED", "ENETUNREACH", "EAI_AGAIN", "EPIPE")
+DATABASE_CODES = ("P1001", "P1002", "P1008", "P1017", "P2024", "P2034")
+RATE_LIMIT_REASONS = ("userRateLimitExceeded", "rateLimitExceeded", "quotaExceeded")
+MODEL_TEXTS = r"(?i)fetch failed|econnreset|etimedout|econnrefused|socket hang up|deadline exceeded"
+SOCKET_TEXTS = r"(?i)socket hang up|network socket disconnected"
+STALLS = ("request-timeout", "body-timeout")
 
 
 def is_transient(error: Column) -> Column:
-    """Whether struct(status, code, message) tells of a failure that may pass."""
-    return F.coalesce(error["status"].isin(*TRANSIENT_STATUS), F.lit(False)) | F.coalesce(error["code"].isin(*TRANSIENT_CODES), F.lit(False)) | F.coalesce(error["message"].rlike(TRANSIENT_TEXT), F.lit(False))
+    """Whether struct(kind, status, code, message, reasons) tells of a failure that may pass.
+
+    ``kind`` is ``truncated`` or ``timeout`` for a model's answer, ``api`` for an HTTP error of the model, a stall of the
+    transport (``STALLS``), or anything else. A code of digits is an HTTP status and goes before ``status``. An answer cut off
+    never passes; 408 passes only for the model, 403 only for a rate limit among ``reasons``.
+    """
+    kind, message = F.coalesce(error["kind"], F.lit("")), F.coalesce(error["message"], F.lit(""))
+    status = F.coalesce(F.when(error["code"].rlike(r"^\d+$"), error["code"].try_cast("int")), error["status"])
+    of_model = F.when(kind == "api", (error["status"] == 408) | (error["status"] == 429) | error["status"].between(500, 599)).otherwise(message.rlike(MODEL_TEXTS))
+    limited = (status == 429) | ((status == 403) & F.arrays_overlap(error["reasons"], F.array(*map(F.lit, RATE_LIMIT_REASONS))))
+    of_transport = kind.isin(*STALLS) | status.between(500, 599) | error["code"].isin(*SOCKET_CODES, *DATABASE_CODES) | message.rlike(SOCKET_TEXTS)
+    signs = [F.coalesce(sign, F.lit(False)) for sign in (kind == "timeout", of_model, limited, of_transport)]
+    return (kind != "truncated") & (signs[0] | signs[1] | signs[2] | signs[3])

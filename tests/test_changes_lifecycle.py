@@ -80,11 +80,6 @@ def test_queue(spark):
     assert [r.w for r in spark.range(1, 9).select(L.backoff(F.col("id")).alias("w")).collect()] == [60, 120, 240, 480, 960, 1920, 3600, 3600]
 
 
-def test_transient_errors(spark):
-    df = spark.createDataFrame([((503, None, None),), ((404, None, "gone"),), ((None, "ECONNRESET", None),), ((None, None, "Rate limit hit"),), ((None, None, None),)], "e struct<status:int,code:string,message:string>")
-    assert [r.t for r in df.select(L.is_transient(F.col("e")).alias("t")).collect()] == [True, False, True, True, False]
-
-
 def test_scores(spark):
     decisions = [("a", 1, "k1", "create", "x"), ("a", 2, "k1", "merge", "x"), ("a", 3, "k1", "merge", "y"), ("a", 4, "k2", "create", "x"), ("a", 5, "k1", "merge", None), ("a", 6, "k9", "merge", "x"), ("a", 7, "k3", "create_after_match_error", None), ("b", 1, "k", "create", "x")]
     got = {r.account: r.asDict() for r in S.merge_score(spark.createDataFrame(decisions, "account string, position int, cluster string, action string, key string")).collect()}
