@@ -3,8 +3,9 @@
 Each round every node adopts the smallest label among its own and its neighbours', then labels are replaced by their
 own labels (pointer jumping), and edges are rewritten between labels until none is left. Rounds grow with the logarithm
 of the longest path. Labels and edges are written to scratch tables each round, so lineage stays short and a lost
-executor costs one round. Neighbour minima are aggregated before the shuffle, so a hub with any number of edges is
-one row per task.
+executor costs one round. Neighbour minima are aggregated before the shuffle, so there a hub with any number of edges is
+one row per task. Rewriting is a join on the labels, where a hub's edges share a key: they are rows of two numbers, and
+the engine splits a partition that is skewed.
 """
 
 from __future__ import annotations

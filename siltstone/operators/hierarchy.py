@@ -1,7 +1,9 @@
 """Folder trees from flat listings.
 
-Chains of parents are followed by pointer doubling: each round joins the table to itself and doubles the length of
-every chain, so a tree of any width needs as many joins as its depth has binary digits, and no recursion.
+Chains of parents are followed by pointer doubling: each round joins the folders that are still under way to the table
+and doubles the length of their chains, so a tree of any width and depth needs as many joins as its depth has binary
+digits, and no recursion. Folders that have arrived are not written again. In each round some folder of any chain that
+ends arrives, so when none does all that are left run into loops.
 """
 
 from __future__ import annotations
@@ -29,20 +31,24 @@ def resolve(folders: DataFrame, root: str, drive_root: str | None = None, cap: i
     `` / ``; ``depth`` is 1 right below the root. For orphans and folders deeper than cap + 1 all three are null.
     """
     scratch = scratch or Scratch(folders.sparkSession)
-    up = F.col("up")
-    state = folders.select("id", "name", "parent_id", F.col("parent_id").alias("up"), F.array("id").alias("ids"), F.array("name").alias("names"))
-    state = state.withColumn("reach", F.when(up == root, "in").when(up == F.lit(drive_root), "out").when(up.isNull(), "orphan"))
-    state = scratch.save(state, "tree-0")
-    for i in range((cap + 1).bit_length() + 1):
-        above = state.select(F.col("id").alias("at"), F.col("up").alias("up2"), F.col("ids").alias("ids2"), F.col("names").alias("names2"), F.col("reach").alias("reach2"))
-        going = state.filter("reach IS NULL").join(above, F.col("up") == F.col("at"), "left")
-        moved = going.select(
-            "id", "name", "parent_id", F.col("up2").alias("up"), F.concat(F.coalesce("ids2", F.array().cast("array<string>")), "ids").alias("ids"),
-            F.concat(F.coalesce("names2", F.array().cast("array<string>")), "names").alias("names"), F.when(F.col("at").isNull(), "orphan").otherwise(F.col("reach2")).alias("reach"),
+    none, up = F.array().cast("array<string>"), F.col("up")
+    cut = lambda names: F.when(F.size("ids") <= cap + 1, F.col(names)).alias(names)  # noqa: E731  longer chains are followed, not shown
+    reach = F.when(up == root, "in").when(up == F.lit(drive_root), "out").when(up.isNull(), "orphan")
+    columns = ["id", "name", "parent_id", "up", "ids", "names", "reach"]
+    state = scratch.save(folders.select("id", "name", "parent_id", F.col("parent_id").alias("up"), F.array("id").alias("ids"), F.array("name").alias("names")).withColumn("reach", reach), "tree-0")
+    settled, going, left = state.filter("reach IS NOT NULL"), state.filter("reach IS NULL"), None
+    turn = 0
+    while (n := going.count()) and n != left:
+        left, turn = n, turn + 1
+        above = settled.unionByName(going).select(F.col("id").alias("at"), F.col("up").alias("up2"), F.col("ids").alias("ids2"), F.col("names").alias("names2"), F.col("reach").alias("reach2"))
+        met = going.join(above, up == F.col("at"), "left")
+        moved = met.select(
+            "id", "name", "parent_id", F.col("up2").alias("up"), F.concat(F.when(F.col("at").isNull(), none).otherwise(F.col("ids2")), "ids").alias("ids"),
+            F.concat(F.when(F.col("at").isNull(), none).otherwise(F.col("names2")), "names").alias("names"), F.when(F.col("at").isNull(), "orphan").otherwise(F.col("reach2")).alias("reach"),
         )
-        state = scratch.save(state.filter("reach IS NOT NULL").unionByName(moved), f"tree-{i + 1}")
-        if state.filter("reach IS NULL").isEmpty():
-            break
+        moved = scratch.save(moved.select(*columns[:4], cut("ids"), cut("names"), "reach"), f"tree-{turn}")
+        settled, going = settled.unionByName(moved.filter("reach IS NOT NULL")), moved.filter("reach IS NULL")
+    state = settled.unionByName(going)
     reach = F.coalesce("reach", F.lit("orphan"))
     known = (reach != "orphan") & (F.size("ids") <= cap + 1)
     return state.select("id", "name", "parent_id", reach.alias("reach"), F.when(known, F.size("ids")).alias("depth"), F.when(known, F.col("ids")).alias("ids"), F.when(known, F.array_join("names", " / ")).alias("path"))
@@ -53,6 +59,55 @@ def reach_counts(tree: DataFrame, cap: int = DEPTH_CAP) -> DataFrame:
     return tree.agg(*(F.count_if(F.col("reach") == r).alias(f"n_{r}") for r in ("in", "out", "orphan")), F.count_if(beyond).alias("n_beyond_cap"), F.max("depth").alias("deepest"))
 
 
+def map_stats(rows: DataFrame, tree: DataFrame, root: str, drive_root: str | None, kind: str, cap: int = DEPTH_CAP) -> DataFrame:
+    """One row of counters for a listing ``rows`` (id, parent_id, parents) cut to the tree below ``root``.
+
+    ``kind`` is ``folders`` or ``files``: folders are in scope down to one level below the cap, files only in folders down
+    to it. ``multi_parent`` counts rows of the whole listing with more than one parent; the first counts. The root is not counted.
+    """
+    of = tree.select(F.col("id").alias("_id"), F.col("reach").alias("_reach"), F.col("depth").alias("_depth"))
+    own = F.when(F.col("parent_id") == root, "in").when(F.col("parent_id") == F.lit(drive_root), "out")
+    joined = rows.join(of, F.col("parent_id") == F.col("_id"), "left").withColumn("reach", F.coalesce(own, "_reach", F.lit("orphan")))
+    shown = (F.col("reach") == "in") & ((F.col("parent_id") == root) | (F.col("_depth") <= cap))
+    beyond = tree.filter(f"reach = 'in' AND depth > {cap}").agg(F.count(F.lit(1)).alias("depth_cap"))
+    counted = joined.filter(F.col("id") != root) if kind == "folders" else joined
+    sums = counted.agg(F.count_if(shown).alias("in_scope"), F.count_if(F.col("reach") == "out").alias("out_of_scope"), F.count_if(F.col("reach") == "orphan").alias("orphans"))
+    several = rows.agg(F.count_if(F.size("parents") > 1).alias("multi_parent"))
+    return sums.crossJoin(several).crossJoin(beyond)  # three tables of one row
+
+
+def parent_paths(rows: DataFrame, tree: DataFrame, root: str, label: str, cap: int = DEPTH_CAP) -> DataFrame:
+    """``rows`` (parent_id) with ``parent_path``, from ``label`` down; null for a parent outside the tree or deeper than the cap."""
+    of = tree.filter(f"reach = 'in' AND depth <= {cap}").select(F.col("id").alias("_id"), F.concat(F.lit(label + " / "), "path").alias("_path"))
+    path = F.when(F.col("parent_id") == root, F.lit(label)).otherwise(F.col("_path"))
+    return rows.join(of, F.col("parent_id") == F.col("_id"), "left").select(*rows.columns, path.alias("parent_path"))
+
+
+def subtree_files(files: DataFrame, tree: DataFrame, root: str, label: str, cap: int = DEPTH_CAP) -> DataFrame:
+    """Files (name, parent_id, ...) below the root with their ``path``, the folder's and the name; ``map_stats`` counts the rest."""
+    placed = parent_paths(files, tree, root, label, cap).filter("parent_path IS NOT NULL")
+    return placed.withColumn("path", F.concat_ws(" / ", "parent_path", "name")).drop("parent_path")
+
+
+def attributed(rows: DataFrame, tree: DataFrame, labels: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``rows`` (parent_id) with their owner: that of the nearest folder, from the parent up, that is a campaign's or a piece's.
+
+    ``labels`` (folder_id, label, campaign_id, campaign_name) names folders; ``existing`` and ``new`` ones own what is below.
+    ``pieces`` (folder_id, piece_id, piece_name, campaign_id, campaign_name) that lie in the tree take the place of labels.
+    Adds owner_type, owner_folder, campaign_id, campaign_name, status, piece_id, piece_name; without an owner the account's.
+    """
+    chains = tree.filter("reach = 'in' AND ids IS NOT NULL").select("id", "ids")
+    own = pieces.join(chains.select(F.col("id").alias("folder_id")), "folder_id", "left_semi").select("folder_id", F.lit("existing").alias("status"), "campaign_id", "campaign_name", "piece_id", "piece_name")
+    named = labels.filter(F.col("label").isin("existing", "new")).join(own, "folder_id", "left_anti")
+    owners = own.unionByName(named.select("folder_id", F.col("label").alias("status"), "campaign_id", "campaign_name", F.lit(None).cast(own.schema["piece_id"].dataType).alias("piece_id"), F.lit(None).cast("string").alias("piece_name")))
+    wanted = chains.join(rows.select(F.col("parent_id").alias("id")).distinct(), "id", "left_semi")
+    steps = wanted.select("id", F.posexplode("ids").alias("at", "folder_id"))
+    found = steps.join(owners, "folder_id").groupBy("id").agg(F.max_by(F.struct("folder_id", "status", "campaign_id", "campaign_name", "piece_id", "piece_name"), "at").alias("_own"))
+    joined = rows.join(found.withColumnRenamed("id", "_id"), F.col("parent_id") == F.col("_id"), "left")
+    kind = F.when(F.col("_own").isNotNull(), "campaign").otherwise("account")
+    return joined.select(*rows.columns, kind.alias("owner_type"), F.col("_own.folder_id").alias("owner_folder"), *(F.col(f"_own.{c}").alias(c) for c in ("campaign_id", "campaign_name", "status", "piece_id", "piece_name")))
+
+
 def subtree_counts(tree: DataFrame) -> DataFrame:
     """For each folder below the root, the folders below it."""
     inside = tree.filter("reach = 'in' AND ids IS NOT NULL")

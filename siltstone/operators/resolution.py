@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from siltstone.functions.text import path_year
 from siltstone.operators.components import components
+from siltstone.operators.matching import is_foreign_tag
+from siltstone.sources.scratch import Scratch
 
 CONFIDENCE_FLOOR = 0.85
 VOTES = 2
@@ -48,11 +52,19 @@ def shuffled(items: list, seed: int) -> list:
 
 
 def windows(spark: SparkSession, members: int, size: int) -> DataFrame:
-    """Rows (schedule, round, window, block): which blocks of size / 2 members share a window; one window if all fit in."""
+    """Rows (round, window, block): which blocks of size / 2 members share a window; one window if all fit in.
+
+    The circle method of ``round_robin``, out of two ranges: seat 0 keeps its block, the others move on one seat a round,
+    and opposite seats meet. With an odd number of blocks the one opposite the empty seat sits out.
+    """
     blocks = -(-members // max(1, size // 2))
-    rounds = [[(0,)]] if members <= size else round_robin(blocks)
-    rows = [(r, w, b) for r, pairs in enumerate(rounds) for w, pair in enumerate(pairs) for b in pair]
-    return spark.createDataFrame(rows or [(0, 0, 0)], "round int, window int, block int")
+    if members <= size:
+        return spark.createDataFrame([(0, 0, 0)], "round int, window int, block int")
+    n = blocks + blocks % 2
+    seated = lambda seat: F.when(seat == 0, F.lit(0)).otherwise(F.pmod(seat - 1 - F.col("round"), F.lit(n - 1)) + 1)
+    rounds = spark.range(n - 1).select(F.col("id").cast("int").alias("round")).withColumn("window", F.explode(F.sequence(F.lit(0), F.lit(n // 2 - 1))))
+    pair = rounds.select("round", "window", F.array(seated(F.col("window")), seated(F.lit(n - 1) - F.col("window"))).alias("pair"))
+    return pair.filter(F.array_max("pair") < blocks).select("round", "window", F.explode(F.col("pair").cast("array<int>")).alias("block"))
 
 
 def paired(roster: DataFrame, size: int, members: int) -> DataFrame:
@@ -73,7 +85,7 @@ def validated_clusters(clusters: DataFrame, roster: DataFrame, floor: float = CO
     In order of position: an unknown canonical, no known variant other than it, an id claimed by an earlier kept
     cluster of the window, too little confidence. A window is one model reply, so one task takes it whole.
     """
-    known = F.broadcast(roster.select(F.col("id").alias("known"))) if roster.isStreaming else roster.select(F.col("id").alias("known"))
+    known = roster.select(F.col("id").alias("known"))
     variants = clusters.select("window", "position", F.explode_outer("variants").alias("variant"))
     present = variants.join(known, F.col("variant") == F.col("known")).groupBy("window", "position").agg(F.collect_set("variant").alias("present"))
     named = clusters.join(known, F.col("canonical") == F.col("known"), "left").withColumn("is_known", F.col("known").isNotNull()).drop("known").join(present, ["window", "position"], "left")
@@ -89,16 +101,18 @@ def validated_clusters(clusters: DataFrame, roster: DataFrame, floor: float = CO
             dropped.append(why)
         return window.assign(kept=window.left, dropped=dropped)[["window", "position", "canonical", "kept", "confidence", "dropped"]]
 
-    return named.groupBy("window").applyInPandas(judge, "window int, position int, canonical string, kept array<string>, confidence double, dropped string")
+    return named.groupBy("window").applyInPandas(judge, f"window {clusters.schema['window'].dataType.simpleString()}, position int, canonical string, kept array<string>, confidence double, dropped string")
 
 
 def votes(clusters: DataFrame) -> DataFrame:
     """Pairs (a, b, votes, confidence) that kept clusters put together, with the number of times and the best confidence.
 
-    Votes of all schedules count together. A cluster of n members gives n - 1 pairs with its canonical member.
+    Votes of all schedules count together. Every two members of a cluster are a pair; a cluster is no larger than its window.
     """
-    pair = clusters.filter("dropped IS NULL").select("canonical", "confidence", F.explode("kept").alias("variant"))
-    return pair.groupBy(F.least("canonical", "variant").alias("a"), F.greatest("canonical", "variant").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.max("confidence").alias("confidence"))
+    members = clusters.filter("dropped IS NULL").select("confidence", F.concat(F.array("canonical"), "kept").alias("ids"))
+    pair = members.select("confidence", "ids", F.posexplode("ids").alias("at", "one"))
+    pair = pair.select("confidence", "one", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("two"))
+    return pair.groupBy(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.max("confidence").alias("confidence"))
 
 
 def vote_components(pairs: DataFrame, least: int = VOTES) -> DataFrame:
@@ -109,6 +123,59 @@ def vote_components(pairs: DataFrame, least: int = VOTES) -> DataFrame:
     return found.join(best, "component").select("node", "component", "confidence")
 
 
+Detector = Callable[[pd.DataFrame], list[tuple[str, list[str], float]]]
+
+
+def detected(roster: DataFrame, detector: Detector, size: int, seed: int) -> DataFrame:
+    """Clusters (window, position, canonical, variants, confidence) that ``detector`` finds in the windows of one pass.
+
+    ``roster`` (id, ...) takes seats in the order of a seeded hash; a window of at most ``size`` members is one call.
+    """
+    members, columns = roster.count(), roster.columns
+    half = max(1, size // 2)
+    # seats by counts over 4,096 parts of the hash, so no task orders the whole roster
+    coded = roster.withColumn("_code", F.xxhash64(F.lit(seed), "id")).withColumn("_part", F.shiftrightunsigned("_code", 52))
+    starts = coded.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.col("_start") + F.row_number().over(Window.partitionBy("_part").orderBy("_code", "id")) - 1
+    block = F.lit(0) if members <= size else F.floor(place / half)
+    seated = coded.join(starts.drop("_n"), "_part").withColumn("block", block.cast("int")).select(*roster.columns, "block")
+
+    def run(window: pd.DataFrame) -> pd.DataFrame:
+        found = detector(window[columns].sort_values("id"))
+        name = f"{window['round'].iloc[0]}-{window['window'].iloc[0]}"
+        return pd.DataFrame([(name, i, c, list(v), float(p)) for i, (c, v, p) in enumerate(found)], columns=["window", "position", "canonical", "variants", "confidence"])
+
+    schema = "window string, position int, canonical string, variants array<string>, confidence double"
+    return seated.join(windows(roster.sparkSession, members, size), "block").groupBy("round", "window").applyInPandas(run, schema)
+
+
+def clustered(roster: DataFrame, detector: Detector, size: int = 60, least: int = VOTES, schedules: int = 2) -> DataFrame:
+    """(node, component, confidence) of ``roster`` (id, folder_id, markdown, created_at, ...) by votes of ``detector``.
+
+    A schedule has ``least`` passes with other seats, so every two members share a window that often. Pairs with enough
+    votes, of all schedules together, are one entity; the next schedule goes over one canonical member of each. It ends
+    early when a schedule joins nothing new.
+    """
+    scratch, working, tally, joined = Scratch(roster.sparkSession), roster, None, None
+    for schedule in range(1, schedules + 1):
+        if working.limit(2).count() < 2:
+            break
+        for turn in range(least):
+            found = detected(working, detector, size, schedule * 31 + turn)
+            cast = scratch.save(votes(validated_clusters(found, working)), f"votes-{schedule}-{turn}")
+            tally = cast if tally is None else tally.unionByName(cast)
+        pairs = scratch.save(tally.groupBy("a", "b").agg(F.sum("votes").alias("votes"), F.max("confidence").alias("confidence")), f"tally-{schedule}")
+        found = scratch.save(vote_components(pairs, least), f"components-{schedule}")
+        same = joined is not None and joined.count() == found.count()
+        joined = found
+        if same or found.isEmpty():
+            break
+        groups = roster.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        chosen = canonical(groups, ["component"]).select(F.col("canonical").alias("id"))
+        working = scratch.save(roster.join(chosen, "id", "left_semi"), f"working-{schedule}")
+    return joined if joined is not None else roster.sparkSession.createDataFrame([], "node string, component string, confidence double")
+
+
 def canonical(members: DataFrame, keys: list[str]) -> DataFrame:
     """Per key the member with a folder, then with a document, then the oldest, then the smallest id."""
     rank = F.struct(F.col("folder_id").isNull().alias("f"), (F.coalesce("markdown", F.lit("")) == "").alias("m"), "created_at", "id")
@@ -140,6 +207,19 @@ def redirected(rows: DataFrame, moves: DataFrame, column: str) -> DataFrame:
     return moved.withColumn(column, F.coalesce("canonical", column)).select(*rows.columns)
 
 
+def redirected_once(rows: DataFrame, moves: DataFrame, column: str, keys: list[str], order: list[Column]) -> DataFrame:
+    """``rows`` redirected along ``moves``; of rows that then agree in ``column`` and ``keys`` the first in ``order`` stays.
+
+    Rows that nothing was moved to are not collapsed. The order starts with rows that were the canonical's own.
+    """
+    moved = rows.join(moves, F.col(column) == F.col("variant"), "left").withColumn("_was", F.col("variant").isNotNull()).withColumn(column, F.coalesce("canonical", column))
+    touched = moved.select(F.col(column).alias("_to"), "_was").filter("_was").select("_to").distinct()
+    told = moved.join(touched, F.col(column) == F.col("_to"), "left")
+    place = F.row_number().over(Window.partitionBy(column, *keys).orderBy(F.col("_was"), *order))
+    once = told.filter("_to IS NOT NULL").withColumn("_place", place).filter("_place = 1").select(*rows.columns)
+    return told.filter("_to IS NULL").select(*rows.columns).unionByName(once)
+
+
 def without(rows: DataFrame, gone: DataFrame, column: str) -> DataFrame:
     """``rows`` less those whose ``column`` is in the first column of ``gone``; null never is."""
     return rows.join(gone, rows[column] == gone[gone.columns[0]], "left_anti")
@@ -154,7 +234,8 @@ def merge_ideas(ideas: DataFrame, matcher: Matcher, recent: int = 50) -> DataFra
     ``matcher`` gets an idea and the last ``recent`` known ones and returns the number of its match, from 1, or 0, and
     merged facets. A number out of range counts as 0; empty facets are replaced by the union. Returns a decision per
     idea: (account, position, idea_no, action, facets), where action is create, update or noop. The order within an
-    account is part of the result, so an account is one task's; accounts are dealt over all tasks.
+    account is part of the result, so an account is one task's, which holds no more of it than ``recent`` ideas; accounts
+    are dealt over all tasks. Null facets are none.
     """
 
     def union(a: list[str], b: list[str]) -> list[str]:
@@ -164,32 +245,45 @@ def merge_ideas(ideas: DataFrame, matcher: Matcher, recent: int = 50) -> DataFra
                 found.setdefault(x.lower(), x)
         return list(found.values())
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        known: list[dict] = []
-        out = []
-        for r in group.sort_values("position").itertuples():
-            idea = {"name": r.name, "facets": list(r.facets)}
-            seen = known[-recent:]
-            number, facets = matcher(idea, seen) if seen else (0, [])
-            if not 1 <= number <= len(seen):
-                known.append({"no": len(known) + 1, **idea})
-                out.append((r.account, r.position, len(known), "create", idea["facets"]))
-                continue
-            old = seen[number - 1]
-            facets = [f.strip() for f in facets if f.strip()] or union(old["facets"], idea["facets"])
-            same = sorted(f.lower() for f in facets) == sorted(f.lower() for f in old["facets"])
-            old["facets"] = facets
-            out.append((r.account, r.position, old["no"], "noop" if same else "update", facets))
-        return pd.DataFrame(out, columns=["account", "position", "idea_no", "action", "facets"])
-
-    account = ideas.schema["account"].dataType.simpleString()
-    return ideas.select("account", "position", "name", "facets").groupBy("account").applyInPandas(run, f"account {account}, position long, idea_no int, action string, facets array<string>")
+    fields = ["account", "position", "idea_no", "action", "facets"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        account, known, created = None, [], 0
+        for batch in batches:
+            out = []
+            for of, position, name, facets in zip(*(batch.column(c).to_pylist() for c in ("account", "position", "name", "facets"))):
+                if created == 0 or of != account:
+                    account, known, created = of, [], 0
+                idea = {"name": name, "facets": facets}
+                number, merged = matcher(idea, known) if known else (0, [])
+                if not 1 <= number <= len(known):
+                    created += 1
+                    known = [*known, {"no": created, **idea}][-recent:]
+                    out.append((of, position, created, "create", facets))
+                    continue
+                old = known[number - 1]
+                merged = [f.strip() for f in merged if f.strip()] or union(old["facets"], facets)
+                same = sorted(f.lower() for f in merged) == sorted(f.lower() for f in old["facets"])
+                old["facets"] = merged
+                out.append((of, position, old["no"], "noop" if same else "update", merged))
+            schema = pa.schema([("account", batch.schema.field("account").type), ("position", pa.int64()), ("idea_no", pa.int32()), ("action", pa.string()), ("facets", pa.list_(pa.string()))])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    account_type = ideas.schema["account"].dataType.simpleString()
+    own = ideas.select("account", F.col("position").cast("long").alias("position"), "name", F.coalesce("facets", F.array().cast("array<string>")).alias("facets"))
+    dealt = own.repartition("account").sortWithinPartitions("account", "position")
+    return dealt.mapInArrow(run, f"account {account_type}, position long, idea_no int, action string, facets array<string>").select(*fields)
+
+
+@lru_cache(maxsize=100_000)
+def tidied(name: str) -> str:
+    return " ".join(name.lower().split())
 
 
 def same_name(idea: dict, known: list[dict]) -> tuple[int, list[str]]:
     """A matcher for tests and offline runs: names that are equal, case and blanks aside."""
-    tidy = lambda s: " ".join(s.lower().split())
-    return next((i + 1 for i, k in enumerate(known) if tidy(k["name"]) == tidy(idea["name"])), 0), []
+    own = tidied(idea["name"])
+    return next((i + 1 for i, k in enumerate(known) if tidied(k["name"]) == own), 0), []
 
 
 def derived_pieces(found: DataFrame, pieces: DataFrame, least: float = 0.8) -> DataFrame:
@@ -271,6 +365,43 @@ def routed(observations: DataFrame, matched: DataFrame, directory: DataFrame) ->
     return joined.select(*observations.columns, bucket.alias("bucket"), via.alias("via"))
 
 
+def zoned(observations: DataFrame, families: DataFrame, matched: DataFrame, directory: DataFrame) -> DataFrame:
+    """``observations`` with ``bucket`` and ``via`` under the rule of zones.
+
+    Below a campaign's folder (owner_type ``campaign``) the campaign is locked: a tag that names none of its family
+    (``families``: campaign_id, names; without one its own name) is ``foreign`` and goes, all else goes to the file's piece
+    or to the campaign, whatever the tag says. Elsewhere a tag goes to the known campaign it matches, an unknown one to
+    the account, and an observation without tag is discarded. Columns: tag, owner_type, folder_id, campaign_id,
+    campaign_name, status, piece_id.
+    """
+    locked = observations.filter("owner_type = 'campaign'").join(families.select(F.col("campaign_id").alias("_of"), "names"), F.col("campaign_id") == F.col("_of"), "left")
+    own = F.coalesce("names", F.when(F.col("campaign_name").isNotNull(), F.array("campaign_name")), F.array().cast("array<string>"))
+    foreign = is_foreign_tag(F.coalesce("tag", F.lit("")), own)
+    to_piece = F.col("piece_id").isNotNull() & F.col("campaign_id").isNotNull()
+    to_known = (F.col("status") == "existing") & F.col("campaign_id").isNotNull()
+    bucket = F.when(foreign, None).when(to_piece, F.concat(F.lit("piece:"), "piece_id")).when(to_known, F.concat(F.lit("existing:"), "campaign_id")).otherwise(F.concat(F.lit("new:"), "folder_id"))
+    inside = locked.select(*observations.columns, bucket.alias("bucket"), F.when(foreign, "foreign").when(to_piece, "piece").otherwise("zone").alias("via"))
+    outside = routed(observations.filter("NOT owner_type <=> 'campaign'"), matched, directory)
+    unknown = F.col("via") == "phantom"
+    outside = outside.withColumn("bucket", F.when(unknown, "account").otherwise(F.col("bucket"))).withColumn("via", F.when(unknown, "unknown_to_account").otherwise(F.col("via")))
+    return inside.unionByName(outside)
+
+
+def applied_plan(decisions: DataFrame, created: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Writes of a plan of ``merge_ideas`` once its creations have ids (account, idea_no, real_id), and what cannot be written.
+
+    Creations and updates get the id of the idea that they create or meet; one whose creation got none is skipped with all
+    its updates, and a run again heals it. Restatements (noop) write nothing.
+    """
+    joined = decisions.filter("action <> 'noop'").join(created.select("account", "idea_no", "real_id"), ["account", "idea_no"], "left")
+    return joined.filter("real_id IS NOT NULL"), joined.filter("real_id IS NULL").drop("real_id")
+
+
+def resolved_ideas(decisions: DataFrame) -> DataFrame:
+    """The ideas (account, idea_no, facets, decks) that a plan ends in: the facets of the last decision, and how many went in."""
+    return decisions.groupBy("account", "idea_no").agg(F.max_by("facets", "position").alias("facets"), F.count(F.lit(1)).alias("decks"))
+
+
 def absorbed(pieces: DataFrame, parents: DataFrame) -> DataFrame:
     """First bullets of pieces (parent_id, piece_id, bullets) that their parent's text (parent_id, body) does not hold yet."""
     first = pieces.select("parent_id", "piece_id", F.try_element_at("bullets", F.lit(1)).alias("bullet")).filter("bullet IS NOT NULL")

@@ -74,6 +74,19 @@ def call_cost(family: Column, prompt: Column, output: Column, thoughts: Column)
     return (F.coalesce(prompt, F.lit(0)) * price(0) + (F.coalesce(output, F.lit(0)) + F.coalesce(thoughts, F.lit(0))) * price(1)) / 1e6
 
 
+def worst_cost(family: Column, prompt: Column, most_output: Column) -> Column:
+    """The most that a call can cost: a token for every three UTF-8 bytes of its prompt, and all the output it may give."""
+    return call_cost(family, F.ceil(F.octet_length(prompt) / 3), most_output, F.lit(0))
+
+
+def charge(family: Column, prompt: Column, output: Column, thoughts: Column, total: Column, worst: Column) -> Column:
+    """What a finished call is charged: for output the larger of its parts and what the total leaves; unknown usage costs the worst."""
+    rest = total - prompt
+    unknown = prompt.isNull() | (output.isNull() & rest.isNull())
+    parts = F.coalesce(output, F.lit(0)) + F.coalesce(thoughts, F.lit(0))
+    return F.when(unknown, worst).otherwise(call_cost(family, prompt, F.greatest(parts, F.coalesce(rest, F.lit(0))), F.lit(0)))
+
+
 def evenly_spaced(rows: DataFrame, n: int, order: str) -> DataFrame:
     """n rows at even distances in ``order``, of a list that fits into one window (an evaluation sample); all if fewer."""
     total = rows.count()

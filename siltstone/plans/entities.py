@@ -269,11 +269,15 @@ def greedy_assign(t: Tables) -> DataFrame:
     return M.assign(M.passage_scores(found, gold, 0.3).withColumn("deck", F.lit("all")), 0.3)
 
 
-@query()
+@query("""WITH o AS (SELECT o_custkey AS account, o_orderkey AS position, o_orderpriority || ' ' || o_orderstatus AS name, o_orderpriority AS p, CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders),
+  f AS (SELECT *, min(position) OVER (PARTITION BY account, name) AS born, position = min(position) OVER (PARTITION BY account, name, y) AS fresh FROM o),
+  b AS (SELECT account, name, CAST(row_number() OVER (PARTITION BY account ORDER BY min(position)) AS INT) AS idea_no FROM o GROUP BY account, name)
+  SELECT account, position, idea_no, CASE WHEN position = born THEN 'create' WHEN fresh THEN 'update' ELSE 'noop' END AS action,
+    array_to_string(list_concat([p], list(CASE WHEN fresh THEN y END) OVER (PARTITION BY account, name ORDER BY position)), '|') AS facets FROM f JOIN b USING (account, name)""")
 def merge_loop(t: Tables) -> DataFrame:
     """Orders as ideas of a customer, named by priority and status: matched by name, in order."""
     ideas = t.orders.select(F.col("o_custkey").alias("account"), F.col("o_orderkey").alias("position"), F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("name"), F.array(F.col("o_orderpriority"), F.year("o_orderdate").cast("string")).alias("facets"))
-    return R.merge_ideas(ideas, R.same_name)
+    return R.merge_ideas(ideas, R.same_name).withColumn("facets", F.array_join("facets", "|"))
 
 
 @query()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,6 +16,10 @@ class Store(Protocol):
     def entries(self, spark: SparkSession) -> DataFrame: ...
 
 
+class ListingRefused(Exception):
+    """The store does not give a flat sweep; walk the folders instead."""
+
+
 class ParquetStore:
     def __init__(self, path: str):
         self.path = path
@@ -74,6 +79,38 @@ def changes_since(feed: DataFrame, token: int, oldest: int) -> tuple[DataFrame,
     return new, token if last is None else last
 
 
+def gathered(store: Store, spark: SparkSession, root: str, unreadable: DataFrame | None = None, on_refusal: Callable[[Exception], None] | None = None, on_folder_error: Callable[[DataFrame], None] | None = None, on_depth_cap: Callable[[DataFrame], None] | None = None) -> DataFrame:
+    """The tree below ``root`` out of one flat sweep, or, if the store refuses that, level by level; any other error is raised.
+
+    The walk skips what lies below folders that cannot be listed (``unreadable``: id) and hands those to ``on_folder_error``;
+    ``on_depth_cap`` gets the folders at the cap, whose contents are left out.
+    """
+    try:
+        found = listed_tree(store, spark, root)
+    except ListingRefused as refusal:
+        if on_refusal:
+            on_refusal(refusal)
+        found = listed_tree(store, spark, root, flat_allowed=False)
+        if unreadable is not None:
+            bad = unreadable.select(F.col("id").alias("_bad")).distinct()
+            if on_folder_error:
+                on_folder_error(found.join(bad, F.col("id") == F.col("_bad"), "left_semi"))
+            from siltstone.operators.hierarchy import resolve
+
+            # the subtree of a bad folder is cut off where its listing failed
+            left = found.select("id", "name", F.when(F.col("parent_id") == root, root).otherwise(F.col("parent_id")).alias("parent_id")).join(bad, F.col("parent_id") == F.col("_bad"), "left_anti")
+            found = resolve(left, root).filter("reach = 'in' AND depth IS NOT NULL").select("id", "name", "parent_id", "depth")
+    if on_depth_cap:
+        on_depth_cap(found.filter(F.col("depth") > 100))
+    return found
+
+
+def inside_root(ids: DataFrame, tree: DataFrame, root: str) -> DataFrame:
+    """``ids`` (id) with ``inside``: whether it is the root or lies below it."""
+    within = tree.filter("reach = 'in'").select(F.col("id").alias("_id"))
+    return ids.join(within, F.col("id") == F.col("_id"), "left").select(*ids.columns, ((F.col("id") == root) | F.col("_id").isNotNull()).alias("inside"))
+
+
 def listed_tree(store: Store, spark: SparkSession, root: str, flat_allowed: bool = True, most_levels: int = 101) -> DataFrame:
     """Folders below ``root``: out of one flat sweep where the store allows it, else level by level. Both give the same rows."""
     from siltstone.operators.hierarchy import resolve
