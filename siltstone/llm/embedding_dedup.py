@@ -2,7 +2,9 @@
 
 Equal vectors are one row from the start. The rest is turned into the basis of principal components, where products of
 the leading dimensions say most about the cosine. Vectors of a group are dealt into tiles by their first component, and
-two tiles meet only if their first components are near enough for the threshold. In a pair of tiles the products of
+two tiles meet only if their first components are near enough for the threshold. Tiles grow with their group up to
+``TILE_BYTES``, so a vector goes to a bounded number of tiles until a group holds ``STRIPS`` tiles of that size; from
+there on comparing all pairs of a group costs what it must, the square. In a pair of tiles the products of
 the leading dimensions come first; what the others can add is bounded by the norms of the suffixes, and a pair is given
 up as soon as it cannot reach the threshold. What is left is decided by the cosine of the original vectors.
 
@@ -20,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from siltstone.llm.vectors import matrix, packed, roots, unpacked, usable
+from siltstone.llm.vectors import matrix, packed, roots, scaled, unpacked, usable
 from siltstone.operators.components import components
 from siltstone.sources.scratch import Scratch
 
@@ -32,10 +34,14 @@ SLACK = 1e-4
 BLOCK = 1 << 16
 #: Bases are found for this many of the most frequent lengths; others keep their own order.
 MOST_LENGTHS = 16
+#: Tiles that a group is dealt into, until they reach this size.
+STRIPS, TILE_BYTES = 8, 1 << 24
 
 
 def bases(reps: DataFrame) -> dict[int, np.ndarray]:
-    """Principal directions, the largest first, for each length of vectors, from sums of d x d numbers."""
+    """Principal directions, the largest first, for the most frequent lengths of vectors, from sums of d x d numbers."""
+    lengths = reps.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(MOST_LENGTHS).collect()
+    wanted = [r["dim"] for r in lengths]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -43,6 +49,7 @@ def bases(reps: DataFrame) -> dict[int, np.ndarray]:
             dims = pc.list_value_length(batch.column("vector")).to_numpy()
             for d in np.unique(dims):
                 x = matrix(batch.column("vector").filter(pa.array(dims == d)), int(d))
+                x = scaled(x)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 sums[int(d)] = sums.get(int(d), 0) + np.append(x.T @ x, len(x))
         yield made(sums)
@@ -58,9 +65,8 @@ def bases(reps: DataFrame) -> dict[int, np.ndarray]:
         return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["dim", "sums"])
 
     schema = "dim int, sums binary"
-    rows = reps.select("vector").mapInArrow(partial, schema).repartition(8, "dim").mapInArrow(total, schema).collect()
-    common = sorted(((np.frombuffer(r["sums"]), r["dim"]) for r in rows), key=lambda x: -x[0][-1])[:MOST_LENGTHS]
-    return {d: np.linalg.eigh(s[:-1].reshape(d, d))[1][:, ::-1] for s, d in common}
+    rows = reps.filter(F.size("vector").isin(wanted)).select("vector").mapInArrow(partial, schema).repartition(8, "dim").mapInArrow(total, schema).collect()
+    return {r["dim"]: np.linalg.eigh(np.frombuffer(r["sums"])[:-1].reshape(r["dim"], r["dim"]))[1][:, ::-1] for r in rows}
 
 
 def compare(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -98,11 +104,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 102
     Two vectors are linked if their groups are equal and not null, their lengths are equal, and their cosine in double
     precision is at least ``threshold`` (over 0). Vectors that are null, empty or zero, or hold null or non-finite
     components, link with nothing, nor do rows without id (their component and ``kept`` are null). Rows that repeat an
-    id are vectors of their own. Further columns are not read.
+    id are vectors of their own. Further columns are not read. An empty table gives no rows. ``tile`` is the least size
+    of a tile and does not change the result.
     """
-    scratch = Scratch(vectors.sparkSession)
-    v = vectors.select(F.col(id_col).alias("id"), F.col(group_col).alias("group"), F.col(vector_col).cast("array<float>").alias("vector"))
-    clean = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0).cast("float")).otherwise(x))
+    out, scratch = Scratch(vectors.sparkSession), Scratch(vectors.sparkSession)
+    v = vectors.select(F.col(id_col).alias("id"), F.col(group_col).alias("group"), F.col(vector_col).cast("array<double>").alias("vector"))
+    clean = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     good = usable(F.col("vector")) & F.col("group").isNotNull() & F.col("id").isNotNull()
     v = v.withColumn("vector", F.when(good, clean)).withColumn("code", F.md5(F.array_join(F.transform("vector", lambda x: x.cast("string")), ",").cast("binary")))
     reps = scratch.save(v.filter(F.col("vector").isNotNull()).groupBy("group", "code").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")), "reps")
@@ -115,17 +122,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 102
             dims = pc.list_value_length(batch.column("vector")).to_numpy()
             for d in map(int, np.unique(dims)):
                 part = batch.filter(pa.array(dims == d))
-                own = matrix(part.column("vector"), d)
+                own = scaled(matrix(part.column("vector"), d))
                 unit = own / np.linalg.norm(own, axis=1, keepdims=True)
                 turned = (unit @ basis.value[d] if d in basis.value else unit).astype("<f4")
                 bins = np.clip((turned[:, 0] + 1) * (BINS / 2), 0, BINS - 1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("group"), pa.array(np.full(len(own), d, np.int32)), part.column("rep"), part.column("copies"), pa.array(bins), packed(turned), packed(own.astype("<f4"))], names=["group", "dim", "rep", "copies", "bin", "turned", "own"])
+                yield pa.RecordBatch.from_arrays([part.column("group"), pa.array(np.full(len(own), d, np.int32)), part.column("rep"), part.column("copies"), pa.array(bins), packed(turned), packed(own)], names=["group", "dim", "rep", "copies", "bin", "turned", "own"])
 
     turned = scratch.save(reps.select("group", "rep", "copies", "vector").mapInArrow(turn, f"group {group_type}, dim int, rep {id_type}, copies long, bin int, turned binary, own binary"), "turned")
     one_group = ["group", "dim"]
     before = F.sum("n").over(Window.partitionBy(*one_group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    strips = turned.groupBy(*one_group, "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("strip", F.floor(before / tile))
-    spread = strips.groupBy(*one_group, "strip").agg(F.min("bin").alias("low"), F.max("bin").alias("high"), F.ceil(F.sum("n") / (2 * tile)).alias("parts"))
+    most = F.greatest(F.lit(tile), F.floor(F.lit(TILE_BYTES) / (12 * F.col("dim"))))
+    fit = F.least(most, F.greatest(F.lit(tile), F.ceil(F.sum("n").over(Window.partitionBy(*one_group)) / STRIPS)))
+    strips = turned.groupBy(*one_group, "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("fit", fit).withColumn("strip", F.floor(before / F.col("fit")))
+    spread = strips.groupBy(*one_group, "strip").agg(F.min("bin").alias("low"), F.max("bin").alias("high"), F.ceil(F.sum("n") / (2 * F.max("fit"))).alias("parts"))
     tiles = scratch.save(spread.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))), "tiles")
     places = scratch.save(strips.select(*one_group, "bin", "strip").join(spread, [*one_group, "strip"]).select(*one_group, "bin", "strip", "parts"), "places")
     members = turned.join(places, [*one_group, "bin"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
@@ -141,7 +150,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 102
     dealt = members.join(sides, [*one_group, "strip", "part"]).select("pair", "side", "alone", "rep", "copies", "turned", "own", *one_group)
 
     def side(rows: pd.DataFrame) -> dict:
-        turned, own = unpacked(rows.turned, "<f4"), unpacked(rows.own, "<f4").astype(np.float64)
+        turned, own = unpacked(rows.turned, "<f4"), unpacked(rows.own, "<f8")
         d = turned.shape[1]
         ends = sorted({min(d, k) for k in (16, 32)} | {d})
         return {"turned": turned, "own": own, "norm": np.linalg.norm(own, axis=1), "rest": np.stack([np.linalg.norm(turned[:, k:], axis=1) for k in ends], 1)}
@@ -171,9 +180,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 102
         return pd.concat(out) if out else pd.DataFrame({"rep": [], "links": [], "root": []})
 
     linked = scratch.save(dealt.groupBy("pair").applyInPandas(pairs, f"rep {id_type}, links long, root {id_type}"), "linked")
+    scratch.drop("turned", "tiles", "places", "meet")
     whole = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")), scratch)
     per_rep = linked.groupBy("rep").agg(F.sum("links").alias("links")).join(whole, F.col("rep") == F.col("node"), "left").select("rep", "links", "component")
-    result = reps.select("group", "code", "rep", "copies").join(per_rep, "rep", "left")
+    result = out.save(reps.select("group", "code", "rep", "copies").join(per_rep, "rep", "left"), "result")
+    scratch.clear()
     joined = v.select("id", "group", "code").join(result.withColumnsRenamed({"group": "g", "code": "c"}), (F.col("group") == F.col("g")) & (F.col("code") == F.col("c")), "left")
     component = F.coalesce("component", "rep", "id")
     return joined.select(F.col("id").alias(id_col), F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))

@@ -89,6 +89,41 @@ def test_nearest_with_ties_and_odd_vectors(spark):
     assert rows(got, "query_id", "rank", "vec_id", "score") == brute_nearest(data, 10, lambda a: a % 10 == 0)
 
 
+@pytest.mark.parametrize(("n", "parts", "kind"), [(1, 1, "float"), (2, 2, "double"), (7, 1, "double"), (12, 12, "float"), (12, 24, "double"), (50, 24, "double")])
+def test_few_vectors_in_any_partitions(spark, n, parts, kind):
+    rng = np.random.default_rng(n)
+    data = [(i, rng.standard_normal(8).astype("f4").tolist()) for i in range(n)]
+    v = spark.createDataFrame(data, f"vec_id long, embedding array<{kind}>").repartition(parts)
+    got = neighbours.nearest(v, F.lit(True)).withColumn("score", F.round("score", 9))
+    assert rows(got, "query_id", "rank", "vec_id", "score") == brute_nearest(data, 10, lambda a: True)
+
+
+def test_first_bounds_from_a_sample_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROWS", 16)
+    rng = np.random.default_rng(4)
+    data = [(i, rng.standard_normal(16).tolist()) for i in range(400)] + [(1000 + i, [1.0] * 16) for i in range(30)]
+    v = spark.createDataFrame(data, "id long, vector array<double>").repartition(24)
+    centre = neighbours.mean(v, 16)
+    got = neighbours.search(neighbours.index(v, 16, centre), v.filter("id % 10 = 0"), 16, centre, block=20, sample=60).withColumn("score", F.round("score", 9))
+    assert rows(got, "query_id", "rank", "id", "score") == brute_nearest(data, 10, lambda a: a % 10 == 0)
+
+
+def test_doubles_keep_their_precision(spark):
+    data = [(0, [1.0, 1e-9]), (1, [1.0, 2e-9]), (2, [1.0, 4e-9]), (10, [1e300, 1e300]), (11, [1e300, 1.0000001e300]), (20, [1e-60, 1e-60]), (21, [1e-60, 1.00001e-60]), (22, [1e-200, -1e-200])]
+    v = spark.createDataFrame([(*r, 0) for r in data], "vec_id long, embedding array<double>, label int")
+    near = {(r.query_id, r.vec_id): r.score for r in neighbours.nearest(v, F.lit(True), 7).collect()}
+    assert near[0, 1] == 2e-9 - 1e-9 and near[1, 2] == 4e-9 - 2e-9 and 0 < near[20, 21] < 2e-65
+    assert near[10, 11] == pytest.approx(1e293, rel=1e-6) and all(near[10, i] == pytest.approx(math.sqrt(2) * 1e300) for i in (0, 1, 2, 20, 21, 22))
+    links = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(v).collect()}
+    assert links == {0: (2, 0), 1: (2, 0), 2: (2, 0), 10: (3, 10), 11: (3, 10), 20: (3, 10), 21: (3, 10), 22: (0, 22)}
+
+
+def test_rows_that_repeat_an_id_count_by_the_smallest_vector(spark):
+    data = [(1, [3.0, 4.0]), (1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [1.0, 3.0])]
+    got = neighbours.nearest(spark.createDataFrame(data, "vec_id long, embedding array<float>"), F.col("vec_id") == 2)
+    assert rows(got, "rank", "vec_id", "score") == [(1, 1, 1.0), (2, 3, 2.0)]
+
+
 def test_blocks_of_queries_change_nothing(spark, monkeypatch):
     data = [r for r in sample() if good(r[1]) and len(r[1]) == 24 and r[0] is not None]
     v = spark.createDataFrame(data, SCHEMA).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
