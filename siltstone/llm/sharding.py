@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from siltstone.sources.scratch import Scratch
 
 ROUNDS = 6
-#: Each walk ends in [0, n) with a chance over 1/4; a row that has not arrived after all of them is an error.
-WALKS = 256
+#: Each walk ends in [0, n) with a chance over 1/4; all but 3 % of rows have arrived after the first few. A row that has not
+#: arrived after all of them is an error.
+FIRST_WALKS, WALKS = 12, 256
+#: Numbers that one array may hold.
+SPAN = 1 << 16
 
 
 def permuted(number: Column, n: int, seed: int) -> Column:
@@ -25,14 +28,19 @@ def permuted(number: Column, n: int, seed: int) -> Column:
         turn = lambda s, i: F.struct(s["r"].alias("l"), s["l"].bitwiseXOR(F.xxhash64(s["r"], i, F.lit(seed)).bitwiseAND(mask)).alias("r"))
         return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), halves, turn, lambda s: F.shiftleft(s["l"], half).bitwiseOR(s["r"]))
 
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once(number.cast("long")), lambda x, _: F.when(x < n, x).otherwise(once(x)))
-    return F.when(walk < n, walk).otherwise(F.raise_error(F.lit("a cycle outlasted its walks; use another seed")).cast("long"))
+    step = lambda x, _: F.when(x < n, x).otherwise(once(x))
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(FIRST_WALKS)), once(number.cast("long")), step)
+    # a lambda's argument is worked out once, so rows that have arrived take no further steps
+    rest = lambda x: F.when(x < n, x).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(WALKS - FIRST_WALKS)), x, step))
+    arrived = F.transform(F.transform(F.array(first), rest), lambda x: F.when(x < n, x).otherwise(F.raise_error(F.lit("a cycle outlasted its walks; use another seed")).cast("long")))
+    return arrived[0]
 
 
 def numbered(rows: DataFrame, scratch: Scratch, name: str = "row_number") -> DataFrame:
     """Adds a global row number, from 0, in the order of a hash of all columns.
 
-    Equal rows are counted before they are numbered, so a row that repeats without end is one row to every shuffle.
+    Equal rows are counted before they are numbered, so a row that repeats without end is one row to every shuffle; its
+    numbers are dealt out by spans of at most ``SPAN``.
     The numbers of a hash's first 12 bits start where counts over 4,096 such parts say, and a part is numbered alone.
     """
     columns = rows.columns
@@ -42,7 +50,9 @@ def numbered(rows: DataFrame, scratch: Scratch, name: str = "row_number") -> Dat
     starts = counted.groupBy("_part").agg(F.sum("_n").alias("_sum")).withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     so_far = F.sum("_n").over(Window.partitionBy("_part").orderBy("_code", *columns).rowsBetween(Window.unboundedPreceding, 0))
     first = counted.withColumn("_upto", so_far).join(F.broadcast(starts), "_part").withColumn("_first", F.col("_start") + F.col("_upto") - F.col("_n"))
-    return first.withColumn(name, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1))).select(*columns, name)
+    last = F.col("_first") + F.col("_n") - 1
+    spans = first.withColumn("_last", last).withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(SPAN).cast("long"))))
+    return spans.withColumn(name, F.explode(F.sequence("_from", F.least("_last", F.col("_from") + SPAN - 1)))).select(*columns, name)
 
 
 def shard(docs: DataFrame, shards: int = 8, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

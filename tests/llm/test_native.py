@@ -41,10 +41,19 @@ def test_targets_and_takes(spark, share):
     assert rows(again, "doc_id", "size", "taken") == sorted(zip(got.doc_id.astype(object).where(got.doc_id.notna(), None), got["size"], got.taken), key=repr)
 
 
-def test_repeat_gives_whole_rows(spark):
-    docs = spark.createDataFrame([(1, "a b", "x"), (2, "c", "y"), (3, "", "y")], "doc_id long, text string, source string")
-    mixed = docs.select("doc_id", F.when(docs.doc_id == 1, 3).otherwise(F.when(docs.doc_id == 2, 1).otherwise(0)).alias("repeats"))
-    assert rows(mixing.repeat(docs, mixed), "doc_id", "text") == [(1, "a b")] * 3 + [(2, "c")]
+def test_repeat_takes_whole_rows_as_often_as_the_mix_says(spark):
+    data = [(i, " ".join(["w"] * (i % 9)), f"s{i % 4}" if i % 5 else None, i) for i in range(300)] + [(None, "x y", "s1", 1), (None, None, None, 2)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, size int")
+    want = [(r.doc_id, r.source, r.size) for r in mixing.mix(docs).collect() for _ in range(r.repeats)]
+    got = mixing.repeat(docs, mixing.plan(docs))
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.source, len(r.text.split())) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_rows_without_ids_spread_over_the_order(spark):
+    docs = spark.createDataFrame([(None, f"a{i} b c", "a") for i in range(500)] + [(1, "x " * 3333, "b")], "doc_id long, text string, source string")
+    got = mixing.mix(docs).filter("source = 'a'").toPandas()
+    assert abs(got.taken.sum() - got.target.iloc[0]) <= 1.5 and got.taken.nunique() > 1
 
 
 def test_empty_tables(spark):
@@ -58,6 +67,40 @@ def test_permutation_is_a_bijection(spark, n):
     assert sorted(got) == list(range(n)) and (n < 60 or got != sorted(got))
 
 
+def feistel(x, n, seed, hashes):
+    """The plain permutation: ``hashes`` gives the round function of (half, round)."""
+    half = max(1, ((max(n, 2) - 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+    while True:
+        left, right = x >> half, x & mask
+        for i in range(1, sharding.ROUNDS + 1):
+            left, right = right, left ^ (hashes[right, i] & mask)
+        x = left << half | right
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 100, 700])
+def test_permutation_equals_a_plain_network(spark, n):
+    pairs = spark.range(1 << max(1, ((max(n, 2) - 1).bit_length() + 1) // 2)).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(sharding.ROUNDS))))
+    hashes = {(r.id, r.i): r.h for r in pairs.withColumn("h", F.xxhash64("id", "i", F.lit(3))).collect()}
+    got = {r.id: r.p for r in spark.range(n).select("id", sharding.permuted(F.col("id"), n, 3).alias("p")).collect()}
+    assert got == {x: feistel(x, n, 3, hashes) for x in range(n)}
+
+
+def test_numbers_of_a_row_that_repeats_come_in_spans(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SPAN", 7)
+    df = spark.range(3).select(F.lit("a").alias("x")).unionByName(spark.range(50).select(F.lit("b").alias("x")))
+    got = sharding.numbered(df, sharding.Scratch(spark)).collect()
+    assert sorted(r.row_number for r in got) == list(range(53)) and sum(r.x == "b" for r in got) == 50
+
+
+def test_very_long_texts(spark):
+    docs = spark.createDataFrame([(1, "word " * 300_000, "a"), (2, "x" * 2_000_000, "b"), (3, "y", "b")], "doc_id long, text string, source string")
+    assert rows(sharding.shard(docs), "doc_id", "size") == [(1, 1_500_001), (2, 2_000_001), (3, 2)]
+    assert rows(mixing.mix(docs), "doc_id", "size") == [(1, 300_000), (2, 1), (3, 1)]
+
+
 def test_rows_law(spark):
     docs = odd_docs(spark).withColumnRenamed("id", "shard")
     docs = docs.unionByName(docs.filter("doc_id = 5").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("n"))
