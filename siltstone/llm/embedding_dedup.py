@@ -35,7 +35,7 @@ BLOCK = 1 << 16
 #: Bases are found for this many of the most frequent lengths; others keep their own order.
 MOST_LENGTHS = 16
 #: Tiles that a group is dealt into, until they reach this size.
-STRIPS, TILE_BYTES = 8, 1 << 24
+STRIPS, TILE_BYTES = 6, 1 << 24
 
 
 def bases(reps: DataFrame) -> dict[int, np.ndarray]:
@@ -98,7 +98,7 @@ def compare(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str = "label") -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 2048, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str = "label") -> DataFrame:
     """One row per row of ``vectors``: id, ``n_links``, ``component_id``, ``kept``.
 
     Two vectors are linked if their groups are equal and not null, their lengths are equal, and their cosine in double
@@ -111,6 +111,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 102
     v = vectors.select(F.col(id_col).alias("id"), F.col(group_col).alias("group"), F.col(vector_col).cast("array<double>").alias("vector"))
     clean = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     good = usable(F.col("vector")) & F.col("group").isNotNull() & F.col("id").isNotNull()
+    # components travel as they came: single precision holds what was single, also in units of a power of two
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
     v = v.withColumn("vector", F.when(good, clean)).withColumn("code", F.md5(F.array_join(F.transform("vector", lambda x: x.cast("string")), ",").cast("binary")))
     reps = scratch.save(v.filter(F.col("vector").isNotNull()).groupBy("group", "code").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")), "reps")
     basis = reps.sparkSession.sparkContext.broadcast(bases(reps))
@@ -126,7 +128,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 102
                 unit = own / np.linalg.norm(own, axis=1, keepdims=True)
                 turned = (unit @ basis.value[d] if d in basis.value else unit).astype("<f4")
                 bins = np.clip((turned[:, 0] + 1) * (BINS / 2), 0, BINS - 1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("group"), pa.array(np.full(len(own), d, np.int32)), part.column("rep"), part.column("copies"), pa.array(bins), packed(turned), packed(own)], names=["group", "dim", "rep", "copies", "bin", "turned", "own"])
+                yield pa.RecordBatch.from_arrays([part.column("group"), pa.array(np.full(len(own), d, np.int32)), part.column("rep"), part.column("copies"), pa.array(bins), packed(turned), packed(own.astype(kind))], names=["group", "dim", "rep", "copies", "bin", "turned", "own"])
 
     turned = scratch.save(reps.select("group", "rep", "copies", "vector").mapInArrow(turn, f"group {group_type}, dim int, rep {id_type}, copies long, bin int, turned binary, own binary"), "turned")
     one_group = ["group", "dim"]
@@ -150,7 +152,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile: int = 102
     dealt = members.join(sides, [*one_group, "strip", "part"]).select("pair", "side", "alone", "rep", "copies", "turned", "own", *one_group)
 
     def side(rows: pd.DataFrame) -> dict:
-        turned, own = unpacked(rows.turned, "<f4"), unpacked(rows.own, "<f8")
+        turned, own = unpacked(rows.turned, "<f4"), unpacked(rows.own, kind).astype(np.float64)
         d = turned.shape[1]
         ends = sorted({min(d, k) for k in (16, 32)} | {d})
         return {"turned": turned, "own": own, "norm": np.linalg.norm(own, axis=1), "rest": np.stack([np.linalg.norm(turned[:, k:], axis=1) for k in ends], 1)}
