@@ -37,7 +37,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), *ranks), *ranks)
+    return bpe.digest_texts(table(spark, sf_dir, "documents"), *ranks)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

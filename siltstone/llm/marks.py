@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Words of 64 bits.
-WORDS = 1 << 20
+#: Words of 64 bits: 4 MB as numbers, some 20 MB as the table that an executor looks them up in.
+WORDS = 1 << 18
 
 
 def place(key: str) -> str:

@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from siltstone.llm.batches import release
 from siltstone.llm.marks import marks, maybe
 from siltstone.llm.vectors import roots
 from siltstone.llm.words import HASHES, MULTIPLIER, mixed, shingles
@@ -124,6 +125,7 @@ def grouped(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col: str =
                 hashes.append(bands(signature(s, factors, terms), rows) if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(n, pa.int64()), pa.array(codes, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))], names=["id", "key", "n", "code", "bands"])
         HASHES.clear()  # a worker that lives on keeps nothing
+        release()
 
     sketches = steps.save(docs.mapInArrow(sketch, f"id {id_type}, key long, n long, code binary, bands array<long>"), "sketches")
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("lead")
@@ -142,6 +144,7 @@ def grouped(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col: str =
             sets = pa.array([shingles(t.as_py(), shingle).astype(np.int64) for t in batch.column("text")], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("rep"), sets], names=["rep", "set"])
         HASHES.clear()
+        release()
 
     wanted = steps.save(classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", F.col("lead.id").alias("of"), F.col("lead.key").alias("of_key")), "wanted")
     marked = steps.save(marks(wanted, "of_key"), "wanted-marks")

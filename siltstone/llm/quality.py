@@ -22,6 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from siltstone.llm.batches import others, release
+
 BITS = 15
 POOR, GOOD, NONE = "p", "g", "-"
 SYMBOLS = "#$%&*|<>{}=~^\\`@+"
@@ -82,7 +84,7 @@ class Shapes(dict):
         shape = word
         for pattern, by in self.runs:
             shape = pattern.sub(by, shape)
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = h = zlib.crc32(shape.encode("utf-8", "replace"))
         return h
@@ -132,7 +134,7 @@ def fit_votes(patterns: pd.DataFrame, rounds: int = 50) -> LabelModel:
                 np.add.at(tables[k, i], cast[:, i], weight)
         tables /= tables[:, :, :2].sum(2, keepdims=True)
         tables[:, :, 2] = 1.0  # an abstention tells nothing
-        model = LabelModel(float(np.clip((n * y).sum() / n.sum(), 1e-6, 0.5)), tables)
+        model = LabelModel(float(np.clip((n * y).sum() / n.sum(), 1e-6, 1 - 1e-6)), tables)
         y = model.posteriors(seen)
     return model
 
@@ -151,21 +153,16 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(value @ self.weights[at] + self.bias, -500, 500))))
 
 
-def train(texts: list[str], y: np.ndarray, rounds: int = 150, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on the features, by Adam over all rows at once; classes weigh alike."""
-    rows, at, value = [], [], []
-    for i, text in enumerate(texts):
-        own, x = features(text)
-        rows.append(np.full(len(own), i))
-        at.append(own.astype(np.int64))
-        value.append(x)
-    rows, at, value = map(np.concatenate, (rows, at, value))
+def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, rounds: int = 150, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on the features of documents, by Adam over all rows at once; classes weigh alike."""
+    rows = np.repeat(np.arange(len(docs)), [len(at) for at, _ in docs])
+    at, value = np.concatenate([at.astype(np.int64) for at, _ in docs]), np.concatenate([x for _, x in docs])
     share = np.array([max(1e-9, (1 - y).mean()), max(1e-9, y.mean())])
     weight = (1 - y) / share[0] + y / share[1]
     w, b, m, v = np.zeros(1 << BITS), 0.0, np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     for t in range(1, rounds + 1):
-        z = np.bincount(rows, value * w[at], minlength=len(texts)) + b
-        error = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(texts)
+        z = np.bincount(rows, value * w[at], minlength=len(docs)) + b
+        error = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(docs)
         g = np.append(np.bincount(at, value * error[rows], minlength=1 << BITS) + decay * w, error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -174,32 +171,46 @@ def train(texts: list[str], y: np.ndarray, rounds: int = 150, rate: float = 0.5,
 
 
 def fit(docs: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text") -> Scorer:
-    """Votes on all documents, estimates the voters, and trains the scorer; without texts it rejects nothing but blanks."""
+    """Votes on all documents, estimates the voters, and trains the scorer; without texts it rejects nothing but blanks.
+
+    Null texts take no part and blank ones abstain. Rows that repeat are drawn, or not, together.
+    """
     own = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
 
     @F.pandas_udf("string")
     def cast(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield part.map(votes)
+        release()
 
     patterns = own.groupBy(cast("text").alias("pattern")).agg(F.count(F.lit(1)).alias("n")).toPandas()
     if not len(patterns):
         return Scorer(np.zeros(1 << BITS), -1.0, LabelModel(0.1, np.full((2, VOTERS, 3), 1 / 3)))
     labels = fit_votes(patterns)
     share = min(1.0, 1.2 * sample / patterns.n.sum())
-    drawn = own.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share * (1 << 30)).select("text", F.xxhash64("id", "text").alias("draw")).orderBy("draw").limit(sample).toPandas()
-    drawn = drawn[drawn.text.str.strip() != ""]
+    draw = F.xxhash64("id", "text")
+    blank = F.col("text").rlike(r"^[\s\p{Z}\x1c-\x1f\x85]*$")
+    few = own.filter((F.pmod(draw, F.lit(1 << 30)) < share * (1 << 30)) & ~blank).select(draw.alias("draw"), "text")
+
+    def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            part = part[part.text.map(lambda t: bool(t.split()))]
+            at, value = zip(*map(features, part.text)) if len(part) else ((), ())
+            yield pd.DataFrame({"draw": part.draw, "pattern": part.text.map(votes), "at": [a.astype(np.int32) for a in at], "value": list(value)})
+
+    # a row is at most 2^BITS features long, however long its text is
+    drawn = few.mapInPandas(described, "draw long, pattern string, at array<int>, value array<double>").orderBy("draw").limit(sample).toPandas()
     if not len(drawn):
         return Scorer(np.zeros(1 << BITS), -1.0, labels)
-    texts = drawn.text.tolist()
-    weights, bias = train(texts, labels.posteriors([votes(t) for t in texts]))
+    weights, bias = train(list(zip(map(np.asarray, drawn["at"]), map(np.asarray, drawn.value))), labels.posteriors(drawn.pattern.tolist()))
     return Scorer(weights.astype(np.float32), bias, labels)
 
 
 def score(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshold: float = 0.5, prefix: str = "") -> DataFrame:
     """``docs`` with ``quality`` (0 to 1) and ``rejected`` (quality at most 1 - threshold).
 
-    A null or blank text has quality 0 and is rejected. Equal texts get equal results.
+    A null or blank text has quality 0 and is rejected. Equal texts get equal results, repeated rows stay, and an empty table
+    gives no rows. A column of ``docs`` that has the name of a result gives way to it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
@@ -208,6 +219,8 @@ def score(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshold: fl
         for part in texts:
             yield pd.Series([1 - shared.value.poor(t) for t in part], dtype=float)
         SHAPES.clear()
+        release()
 
-    found = docs.withColumn("_found", run(F.col(text_col).cast("string")))
-    return found.select(*docs.columns, F.col("_found").alias(prefix + "quality"), (F.col("_found") <= 1 - threshold).alias(prefix + "rejected"))
+    quality, rejected = prefix + "quality", prefix + "rejected"
+    found = docs.select(*others(docs, quality, rejected), run(F.col(text_col).cast("string")).alias(quality))
+    return found.withColumn(rejected, F.col(quality) <= 1 - threshold)

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Distinct words that a task remembers.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 FINISH = np.uint64(0xBF58476D1CE4E5B9)
 

@@ -75,6 +75,43 @@ def test_odd_texts_and_clashing_columns(spark):
     assert {(r.doc_id, r.kept) for r in with_null} == {(None, None), (4, True)}
 
 
+def test_two_texts_of_one_id_keep_their_links(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join(base[:-1] + ["other"])
+    docs = spark.createDataFrame([(1, "quite another text of its own"), (1, " ".join(base)), (2, near), (3, "alone")], "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in minhash_dedup.near_duplicates(docs).collect()}
+    assert got == {(1, 3): 1, (1, 57): 1, (2, 57): 1, (3, 1): 3}
+
+
+def test_deduplication_keeps_whole_rows_whatever_their_ids(spark):
+    base = [f"w{i}" for i in range(80)]
+    copy = " ".join(base[:-1] + ["other"])
+    data = [
+        (5, " ".join(base), "a"), (6, copy, "b"), (None, copy, "c"), (None, "a clean text without an id at all", "d"), (7, "first text under seven for good", "e"), (7, "second text under seven also stays", "f"),
+        (8, "the same row twice over and over", "g"), (8, "the same row twice over and over", "g"), (9, None, "h"), (9, None, "h"), (10, " ", "i"),
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string, key string").repartition(3)
+    got = minhash_dedup.deduplicated(docs)
+    assert got.columns == docs.columns
+    assert sorted(r.key for r in got.collect()) == ["a", "d", "e", "f", "g", "h", "h", "i"]
+    assert minhash_dedup.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_marks_lose_no_key(spark, monkeypatch):
+    from siltstone.llm import marks
+
+    for words in (1, 4, 1 << 20):
+        monkeypatch.setattr(marks, "WORDS", words)
+        wanted = spark.range(0, 300, 3).select("id")
+        marked = marks.marks(wanted, "id")
+        assert marked.count() <= words
+        hit = {r.id for r in marks.maybe(spark.range(600), "id", marked).collect()}
+        missed = {r.id for r in marks.maybe(spark.range(600), "id", marked, "left_anti").collect()}
+        assert set(range(0, 300, 3)) <= hit and not hit & missed and hit | missed == set(range(600))
+    assert len(hit) == 100
+    assert marks.maybe(spark.range(5), "id", marks.marks(spark.range(0), "id")).count() == 0
+
+
 def test_empty_table(spark):
     assert minhash_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -53,6 +53,8 @@ def test_digests_equal_the_library(spark, chunk, overlap):
         return len(ids), hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
 
     got = bpe.digest(bpe.encode(docs, RANKS, P.PATTERN, chunk, overlap), RANKS, P.PATTERN)
+    once = bpe.digest_texts(docs, RANKS, P.PATTERN, chunk, overlap)
+    assert sorted(once.collect(), key=repr) == sorted(got.collect(), key=repr)
     assert rows(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(((r.doc_id, *want(r.text)) for r in docs.collect()), key=repr)
 
 
