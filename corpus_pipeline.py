@@ -46,7 +46,7 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """One row per taken document: token count and the hashes of its ids and of the bytes that they decode to."""
     in_small_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.digest(bpe.encode(docs, *ranks), *ranks)
+    return bpe.digest_texts(docs, *ranks)
 
 
 STAGES = [
