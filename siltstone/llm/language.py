@@ -89,6 +89,7 @@ def fit(docs: DataFrame, per_language: int = 3, sample: int = 400, floor: float
                 df += grams(text.as_py()) > 0
             n.update(batch.column("lang").to_pylist())
         at = df.nonzero()[0]
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([None] * len(at) + list(n), pa.string()), pa.array(np.append(at, np.full(len(n), -1)), pa.int64()), pa.array(np.append(df[at], list(n.values())), pa.int64())], names=["lang", "bucket", "n"])
 
     seen = known.select("text", "lang").mapInArrow(frequencies, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
@@ -109,6 +110,7 @@ def fit(docs: DataFrame, per_language: int = 3, sample: int = 400, floor: float
             at = [v.nonzero()[0].astype("<i4") for v in own]
             packed = [pa.array(list(map(bytes, x)), pa.binary()) for x in (at, [v[a].astype("<f4") for v, a in zip(own, at)])]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("draw"), *packed], names=["lang", "draw", "at", "value"])
+        release()
 
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     drawn = few.mapInArrow(vectors, "lang string, draw long, at binary, value binary").withColumn("rank", rank).filter(F.col("rank") <= sample)
@@ -158,7 +160,8 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", prefi
                 yield pd.DataFrame([shared.value.predict(t) for t in batch], columns=["lang_pred", "score", "rejected"])
             release()
 
-        return nearest(F.col(text_col).cast("string"))
+        # so that a filter on the result waits for it; else Spark puts a second call below the filter
+        return nearest.asNondeterministic()(F.col(text_col).cast("string"))
 
     kept, found = others(docs, *names), [nearest_of(part) for part in model.slices()]
     both = docs.select(F.struct(*kept).alias("row"), F.array(*found).alias("found"))

@@ -197,6 +197,8 @@ def fit(docs: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col: s
             part = part[part.text.map(lambda t: bool(t.split()))]
             at, value = zip(*map(features, part.text)) if len(part) else ((), ())
             yield pd.DataFrame({"draw": part.draw, "pattern": part.text.map(votes), "at": [a.astype(np.int32) for a in at], "value": list(value)})
+        SHAPES.clear()
+        release()
 
     # a row is at most 2^BITS features long, however long its text is
     drawn = few.mapInPandas(described, "draw long, pattern string, at array<int>, value array<double>").orderBy("draw").limit(sample).toPandas()
@@ -222,5 +224,6 @@ def score(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshold: fl
         release()
 
     quality, rejected = prefix + "quality", prefix + "rejected"
-    found = docs.select(*others(docs, quality, rejected), run(F.col(text_col).cast("string")).alias(quality))
+    # so that a filter on the result waits for it; else Spark puts a second call below the filter
+    found = docs.select(*others(docs, quality, rejected), run.asNondeterministic()(F.col(text_col).cast("string")).alias(quality))
     return found.withColumn(rejected, F.col(quality) <= 1 - threshold)
