@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, embedding_dedup, language, minhash_dedup, mixing, neighbours, quality, running, sharding, token_counts, vector_codes
+from siltstone.llm import bpe, embedding_dedup, language, line_dedup, minhash_dedup, mixing, neighbours, quality, running, sharding, token_counts, vector_codes
 from siltstone.llm.batches import in_small_batches
 
 
@@ -59,6 +59,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running.score(table(spark, sf_dir, "documents"), held_out=held_out)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -74,7 +79,8 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_line_dedup": op11_line_dedup,
     "op12_vector_codes": op12_vector_codes,
 }
 
-ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE, "op3_embedding_dedup": embedding_dedup.ORACLE, "op9_minhash_dedup": minhash_dedup.ORACLE, "op12_vector_codes": vector_codes.oracle()}
+ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE, "op3_embedding_dedup": embedding_dedup.ORACLE, "op9_minhash_dedup": minhash_dedup.ORACLE, "op11_line_dedup": line_dedup.ORACLE, "op12_vector_codes": vector_codes.oracle()}
