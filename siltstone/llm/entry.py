@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.llm import bpe, embedding_dedup, language, line_dedup, minhash_dedup, mixing, neighbours, quality, running, sharding, token_counts, vector_codes
+from siltstone.llm import bpe, embedding_dedup, language, line_dedup, minhash_dedup, mixing, neighbours, phrases, quality, running, sharding, token_counts, vector_codes
 from siltstone.llm.batches import in_small_batches
 
 
@@ -68,6 +68,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_source_mixing": op2_source_mixing,
@@ -81,6 +85,7 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_line_dedup": op11_line_dedup,
     "op12_vector_codes": op12_vector_codes,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
-ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE, "op3_embedding_dedup": embedding_dedup.ORACLE, "op9_minhash_dedup": minhash_dedup.ORACLE, "op11_line_dedup": line_dedup.ORACLE, "op12_vector_codes": vector_codes.oracle()}
+ORACLES: dict[str, str] = {"op2_source_mixing": mixing.ORACLE, "op3_embedding_dedup": embedding_dedup.ORACLE, "op9_minhash_dedup": minhash_dedup.ORACLE, "op11_line_dedup": line_dedup.ORACLE, "op12_vector_codes": vector_codes.oracle(), "op13_phrase_mining": phrases.ORACLE}
