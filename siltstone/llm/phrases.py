@@ -119,7 +119,7 @@ def distinct(columns: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarr
     return np.unique(code, return_index=True, return_counts=True)[1:]
 
 
-def suffixes(docs: DataFrame, marked: DataFrame, longest: int) -> DataFrame:
+def suffixes(docs: DataFrame, marked: DataFrame, longest: int, chunk: int = CHUNK) -> DataFrame:
     """Rows (suffix, n): language and up to ``longest`` words, equal ones added up a chunk; ``marked`` has the words' bits."""
     bits = np.zeros(WORDS, np.uint64)
     for r in marked.toLocalIterator():
@@ -163,13 +163,13 @@ def suffixes(docs: DataFrame, marked: DataFrame, longest: int) -> DataFrame:
                     waiting.append(np.fromiter(map(own.__getitem__, part), np.int32, len(part)))
                     langs += [escaped(lang.as_py())] * (len(words) - len(langs))
                     size += len(part)
-                    if size > 2 * CHUNK:  # within a long text, whose last words are yet to be followed by others
+                    if size > 2 * chunk:  # within a long text, whose last words are yet to be followed by others
                         x = np.concatenate(waiting)
                         yield from out(x, size - longest + 1)
                         waiting, size = [x[size - longest + 1 :]], longest - 1
                 waiting.append(np.zeros(1, np.int32))
                 size += 1
-                if size > CHUNK:
+                if size > chunk:
                     yield from out(np.concatenate(waiting), size)
                     waiting, size = [], 0
                     known.clear()
