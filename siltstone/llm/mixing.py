@@ -4,7 +4,8 @@ Everything on the path is DataFrame code. The texts are read once, to measure th
 source is the start of its documents in the order of a seeded hash, as far as the words still wanted reach. That
 point is found by sums over the first and then the second byte of the hash, so no task ever sees more of a source
 than one 65,536th of it in order. It is one value a source, so what becomes of a document follows from the document
-and a row of its source: the mix shuffles no texts and joins nothing by id.
+and a row of its source: the mix shuffles no texts and joins nothing by id. Only where rows of one hash, which are equal
+in id and text, lie across that point are they counted, so that as many of them come once more as the words ask for.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from siltstone.sources.scratch import Scratch
 
 #: Maximal runs of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Copies of a row that one array may hold.
+SPAN = 1 << 16
 
 
 def words(text: Column) -> Column:
@@ -44,7 +47,8 @@ def code(id_: Column, text: Column, seed: int) -> Column:
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, max_epochs: int = 3, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """One row per source: ``of``, ``source_size``, ``target``, ``whole`` repetitions, and ``last``, the code up to which documents come once more.
+    """One row per source: ``of``, ``source_size``, ``target``, ``whole`` repetitions, ``last``, the code below which documents come once
+    more, and how many, ``extra``, of the ``edge_rows`` rows of that very code do.
 
     Sources in order of code points, null last, weigh as ``weights`` says, over and over; together they are to take
     ``share`` of all words, none more than ``max_epochs`` times its own. Null is a source of its own; one without words
@@ -81,51 +85,86 @@ def _plan(scratch: Scratch, sized: DataFrame, weights: tuple[int, ...], share: f
     one = cut(sized.groupBy("source", "first").agg(F.sum("size").alias("words")).join(targets.select("of", "rest"), same).drop("of"), "first")
     at_one = sized.join(one, same & (F.col("first") == F.col("cut_first"))).drop("of")
     two = cut(at_one.groupBy("source", "second").agg(F.sum("size").alias("words"), F.first("rest_first").alias("rest")), "second")
-    cell = at_one.join(two, same & (F.col("second") == F.col("cut_second"))).groupBy("source", "code").agg(F.sum("size").alias("words"), F.first("rest_second").alias("rest"))
+    cell = at_one.join(two, same & (F.col("second") == F.col("cut_second"))).groupBy("source", "code").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"), F.first("rest_second").alias("rest"))
     so_far = F.sum("words").over(Window.partitionBy("source").orderBy("code").rowsBetween(Window.unboundedPreceding, 0))
-    inside = cell.withColumn("so_far", so_far).filter("so_far - words / 2 <= rest").groupBy("source").agg(F.max("code").alias("within"))
-    before = F.concat("cut_first", "cut_second")  # sorts before all codes of the cell and after those of earlier cells
-    last = F.when(F.col("cut_first").isNull() & (F.col("rest") > 0), "g").otherwise(F.coalesce("within", before))
+    over = cell.withColumn("so_far", so_far).filter("so_far > rest").groupBy("source").agg(F.min_by(F.struct("*"), "code").alias("at")).select(F.col("source").alias("at_source"), "at.*")
+    inside = over.withColumn("extra", F.floor((F.col("rest") - F.col("so_far") + F.col("words")) * F.col("rows") / F.col("words") + 0.5).cast("long"))
+    last = F.when(F.col("cut_first").isNull() & (F.col("t.rest") > 0), "g").otherwise(F.col("code"))  # "g" comes after all codes
     found = (
-        targets.alias("t").join(one.alias("a"), F.expr("t.of <=> a.of"), "left").join(two.alias("b"), F.expr("t.of <=> b.of"), "left").join(inside.alias("c"), F.expr("t.of <=> c.source"), "left")
-        .select("t.of", "source_size", F.round("target", 6).alias("target"), "whole", last.alias("last"))
+        targets.alias("t").join(one.alias("a"), F.expr("t.of <=> a.of"), "left").join(inside.alias("c"), F.expr("t.of <=> c.at_source"), "left")
+        .select("t.of", "source_size", F.round("target", 6).alias("target"), "whole", last.alias("last"), F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("rows", F.lit(0)).alias("edge_rows"))
     )
     found = scratch.save(found, "plan")
     steps.clear()
     return found
 
 
-def repeats(size_is_positive: Column) -> Column:
-    """How often a row with the columns of a plan is taken."""
-    return F.when(size_is_positive, F.col("whole") + F.coalesce(F.col("code") <= F.col("last"), F.lit(False)).cast("long")).otherwise(0)
+def repeats(some: Column) -> Column:
+    """How often a row with the columns of a plan is taken, if no other row has its code."""
+    more = (F.col("code") < F.col("last")) | ((F.col("code") == F.col("last")) & (F.col("extra") == 1))
+    return F.when(some, F.col("whole") + F.coalesce(more, F.lit(False)).cast("long")).otherwise(0)
+
+
+#: Rows whose code others share and of which some come once more than the rest.
+AT_EDGE = "code <=> last AND edge_rows > 1"
+
+
+def counted_out(rows: DataFrame, total: Column) -> DataFrame:
+    """Rows at the edge of their source, each distinct one ``total`` times, numbered from 0 by ``copy``.
+
+    ``total`` may use ``n``, how many equal rows there are, and ``take``, how many of them come once more. Equal rows are one
+    before they are shuffled; what a source has at its edge is counted by 4,096 parts of a hash before it is put in
+    order; and copies are dealt out by spans, so neither a row nor a source that repeats without end is one task.
+    """
+    columns = rows.columns
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).withColumn("_hash", F.xxhash64(*columns)).withColumn("_part", F.col("_hash").bitwiseAND(4095))
+    before = Window.partitionBy("of").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counted.groupBy("of", "_part").agg(F.sum("n").alias("_sum")).withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    starts = starts.select(F.col("of").alias("_of"), F.col("_part").alias("_p"), "_start")
+    so_far = F.sum("n").over(Window.partitionBy("of", "_part").orderBy("_hash").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumn("_upto", so_far).join(starts, F.col("of").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_p")))
+    free = F.col("extra") - F.col("_start") - F.col("_upto") + F.col("n")
+    some = placed.withColumn("take", F.greatest(F.lit(0), F.least("n", free))).withColumn("_total", total).filter("_total > 0")
+    spans = some.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_total") - 1, F.lit(SPAN).cast("long")))).repartition("of", "_hash", "_from")
+    return spans.withColumn("copy", F.explode(F.sequence("_from", F.least(F.col("_total"), F.col("_from") + SPAN) - 1))).select(*columns, "take", "copy")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, max_epochs: int = 3, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``source``, ``size`` (words), ``source_size``, ``target``, ``repeats``, ``taken``.
 
     Targets are those of ``plan``. ``repeats`` says how often the mix takes the document, at most ``max_epochs`` times, and
-    ``taken`` is ``repeats * size``. Each source comes within half a document of its target. Documents without words
-    (null or empty text) have size 0 and are taken 0 words. Null ids are kept. Rows that are equal in id, text and source
-    are one document here: they come once more together, if that brings the source nearer its target.
+    ``taken`` is ``repeats * size``. Each source comes within half a row of its target: half the words of the row at which
+    the words wanted run out. Documents without words (null or empty text) have size 0 and are taken 0 words. Null ids are
+    kept. Rows that are equal in id, text and source are rows of their own: of those at that point as many come once more
+    as bring the source nearest its target, whichever of them.
     """
     scratch = Scratch(docs.sparkSession)
     sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), code(F.col(id_col), F.col(text_col), seed).alias("code"))
     sized = scratch.save(sized, "sized")
     planned = sized.join(_plan(scratch, sized, weights, share, max_epochs), F.col("source").eqNullSafe(F.col("of")))
-    return planned.withColumn("repeats", repeats(F.col("size") > 0)).select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
+    rows = planned.filter(f"NOT ({AT_EDGE})").withColumn("repeats", repeats(F.col("size") > 0))
+    edge = counted_out(planned.filter(AT_EDGE), F.col("n")).withColumn("repeats", F.col("whole") + (F.col("copy") < F.col("take")).cast("long"))
+    both = rows.unionByName(edge.select(*rows.columns))
+    return both.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
 def repeat(docs: DataFrame, planned: DataFrame, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the plan made from them says; texts stay where they are.
 
-    A row's place follows from the row and the plan of its source, so no text meets a decision by its id. Rows without
-    words are left out; further columns may have any name.
+    A row's place follows from the row and the plan of its source, so no text meets a decision by its id; only rows of
+    equal id and text at the edge of their source are counted, if there are any. Rows without words are left out; further
+    columns may have any name.
     """
     row = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("row")
     text = F.col(text_col).cast("string")
     placed = docs.select(row, F.col(source_col).alias("source"), code(F.col(id_col), text, seed).alias("code"), F.coalesce(text.rlike(WORD), F.lit(False)).alias("some"))
-    taken = placed.join(planned, F.col("source").eqNullSafe(F.col("of"))).withColumn("repeats", repeats(F.col("some"))).filter("repeats > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))).select("row.*")
+    met = placed.join(planned, F.col("source").eqNullSafe(F.col("of")))
+    taken = met.filter(f"NOT ({AT_EDGE})").withColumn("repeats", repeats(F.col("some"))).filter("repeats > 0")
+    mixed = taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))).select("row")
+    if not planned.filter("edge_rows > 1").isEmpty():
+        edge = met.filter(AT_EDGE).select("row", "of", "whole", "extra")
+        mixed = mixed.unionByName(counted_out(edge, F.col("n") * F.col("whole") + F.col("take")).select("row"))
+    return mixed.select("row.*")
 
 
 ORACLE = r"""
@@ -142,9 +181,9 @@ WITH sized AS (
   SELECT source, source_size, least(3 * source_size, weight * level) AS target FROM sources, level
 ), placed AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
-    sum(size) OVER (PARTITION BY sized.source ORDER BY code RANGE UNBOUNDED PRECEDING) AS so_far, sum(size) OVER (PARTITION BY sized.source, code) AS tied
+    sum(size) OVER (PARTITION BY sized.source ORDER BY code ROWS UNBOUNDED PRECEDING) AS so_far
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, round(target, 6) AS target,
-  CAST(size * (whole + CASE WHEN so_far - tied / 2 <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM placed
+  CAST(size * (whole + CASE WHEN so_far - size / 2 <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM placed
 """

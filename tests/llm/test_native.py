@@ -2,11 +2,13 @@
 
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from siltstone.llm import mixing, sharding
 from tests.llm.cases import odd_docs, rows
+from tests.test_queries import normal
 
 
 def water(sizes, weights, budget, cap):
@@ -50,6 +52,30 @@ def test_repeat_takes_whole_rows_as_often_as_the_mix_says(spark):
     assert sorted(((r.doc_id, r.source, len(r.text.split())) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_equal_rows_come_as_near_as_single_ones(spark):
+    data = [(1, "w " * 10, "a", 1)] * 1000 + [(2 + i, "w " * (9990 - 40 * i), "b", 1) for i in range(2)] + [(7, "x y z", "c", i % 3) for i in range(900)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, lang int").repartition(7)
+    got = mixing.mix(docs).toPandas()
+    assert len(got) == len(data)
+    for source, width in (("a", 10), ("c", 3)):
+        own = got[got.source == source]
+        assert abs(own.taken.sum() - own.target.iloc[0]) <= width / 2 + 1e-5
+    con = duckdb.connect()
+    documents = docs.toPandas()  # noqa: F841  read by the SQL
+    want = con.sql(mixing.ORACLE).df()
+    assert normal(got[list(want.columns)]) == normal(want)
+    whole = mixing.repeat(docs, mixing.plan(docs)).groupBy("source").count().collect()
+    assert {r.source: r["count"] for r in whole} == got.groupby("source").repeats.sum().to_dict()
+
+
+def test_a_row_that_repeats_over_spans(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SPAN", 64)
+    docs = spark.createDataFrame([(None, "a b", None)] * 1000 + [(1, "c " * 4300, "b")], "doc_id long, text string, source string")
+    got = mixing.mix(docs).filter("source IS NULL").toPandas()
+    assert len(got) == 1000 and abs(got.taken.sum() - got.target.iloc[0]) <= 1 and got.taken.nunique() > 1
+    assert mixing.repeat(docs, mixing.plan(docs)).filter("source IS NULL").count() == got.repeats.sum()
+
+
 def test_rows_without_ids_spread_over_the_order(spark):
     docs = spark.createDataFrame([(None, f"a{i} b c", "a") for i in range(500)] + [(1, "x " * 3333, "b")], "doc_id long, text string, source string")
     got = mixing.mix(docs).filter("source = 'a'").toPandas()
