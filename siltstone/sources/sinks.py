@@ -1,4 +1,4 @@
-"""Writing versions, run results, tables that are replaced as a whole, logs, and messages."""
+"""Logs, messages and codecs; tables are written through ``tablelog``."""
 
 from __future__ import annotations
 
@@ -7,53 +7,12 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.operators.versions import latest
-from siltstone.sources.scratch import delete
-
-
-def append_versions(rows: DataFrame, path: str) -> None:
-    """Adds rows and never changes one."""
-    rows.write.mode("append").parquet(path)
-
-
-def replace_run(rows: DataFrame, path: str, run_column: str = "run_id") -> None:
-    """Replaces the partitions of the runs in ``rows`` and leaves all others, so a repeated run leaves no second copy."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_column).parquet(path)
-
-
-def upsert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], order: list[str]) -> None:
-    """The latest row per key of what is there and ``rows``, written beside the table and swapped in."""
-    old = spark.read.schema(rows.schema).parquet(path) if exists(spark, path) else rows.limit(0)
-    swap(spark, latest(old.unionByName(rows), keys, order), path)
-
 
 def exists(spark: SparkSession, path: str) -> bool:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def swap(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Writes a whole table that may be made from its own old rows."""
-    new = path.rstrip("/") + "-new"
-    rows.write.mode("overwrite").parquet(new)
-    delete(spark, path)
-    jvm = spark.sparkContext._jvm
-    a, b = jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(path)
-    a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(a, b)
-
-
-def write_together(spark: SparkSession, tables: dict[str, DataFrame], root: str, commit: str) -> None:
-    """Writes several tables under one commit id; its marker comes last, and readers see committed ids only."""
-    for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(f"{root}/{name}/commit={commit}")
-    spark.createDataFrame([(commit,)], "id string").coalesce(1).write.mode("overwrite").parquet(f"{root}/_commits/commit={commit}")
-
-
-def read_committed(spark: SparkSession, name: str, root: str) -> DataFrame:
-    done = spark.read.parquet(f"{root}/_commits").select("commit").distinct()
-    return spark.read.parquet(f"{root}/{name}").join(done, "commit", "left_semi")
-
-
 def wipe_counts(tables: dict[str, DataFrame], column: str, account: str) -> DataFrame:
     """What a wipe of one account would delete, by table."""
     counts = None
