@@ -55,21 +55,59 @@ def test_rows_equal_brute_force(spark, least, percent, top):
     assert mined(docs, least=least, percent=percent, top=top) == brute(data, least=least, percent=percent, top=top)
 
 
-@pytest.mark.parametrize("chunk", [7, 500, phrases.CHUNK])
-def test_chunks_do_not_change_the_sums(spark, chunk):
+def words_of(text):
+    for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), text)):
+        yield re.findall(r"[^\x20\x09]+", piece)
+
+
+@pytest.mark.parametrize("chunk,listed", [(7, True), (500, True), (phrases.CHUNK, True), (7, False), (phrases.CHUNK, False)])
+def test_chunks_and_ranges_do_not_change_the_sums(spark, chunk, listed):
     data = [(" ".join(texts(40, i)), "en") for i in range(6)] + [("again and again " * 300, "en"), ("long" * 5000, "fr"), ("a b c", "fr")]
     docs = spark.createDataFrame(data, "text string, lang string").coalesce(1).select(F.col("lang").cast("binary"), F.col("text").cast("binary"))
-    bits = spark.range(phrases.WORDS).selectExpr("CAST(id AS INT) AS at", "-1L AS bits")
-    got, want = Counter(), Counter()
-    for r in phrases.suffixes(docs, bits, 5, chunk).collect():
-        got[bytes(r.suffix)] += r.n
+    names = sorted({(lang, w) for t, lang in data for own in words_of(t) for w in own})
+    if listed:
+        numbers = {x: i for i, x in enumerate(names, 1)}
+        lists = {g: phrases.Listed({w.encode(): i for (h, w), i in numbers.items() if h == g}) for g in ("en", "fr")}
+        code = phrases.Coding(phrases.BITS, lists=spark.sparkContext.broadcast({g.encode(): x for g, x in lists.items()}))
+    else:
+        numbers = {x: phrases.hashed(x[0].encode(), x[1].encode(), 3) for x in names}
+        code = phrases.Coding(phrases.HASHED, bitmap=spark.sparkContext.broadcast(np.full(phrases.WORDS, ~np.uint64(0))), seed=3)
+    bounds = phrases.ends(docs, code, 5, 10**9 if chunk == 7 else 1, 9)
+    got, of, want = Counter(), {}, Counter()
+    for r in phrases.suffixes(docs, code, 5, bounds, chunk).collect():
+        key = tuple(v for c, v in r.asDict().items() if c.startswith("k"))
+        got[key] += r.n
+        assert of.setdefault(key, r.part) == r.part == sum(key >= b for b in bounds)
     for text, lang in data:
-        for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), text)):
-            w = [phrases.escaped(x.encode()) for x in re.findall(r"[^\x20\x09]+", piece)]
-            want.update(b"\x00".join([lang.encode(), *w[i : i + 5]]) for i in range(len(w)))
+        for w in words_of(text):
+            for i in range(len(w)):
+                own = [numbers[lang, x] for x in w[i : i + 5]]
+                want[tuple(int(k[0]) for k in code.packed([np.array([x]) for x in own + [0] * (5 - len(own))]))] += 1
     assert got == want
 
 
+def test_packed_suffixes_keep_their_order():
+    rng = np.random.default_rng(1)
+    code = phrases.Coding(phrases.BITS)
+    columns = [rng.integers(0, 1 << phrases.BITS, 500) for _ in range(5)]
+    columns[0][:] = columns[0] % 3
+    keys = code.packed(columns)
+    assert [c.tolist() for c in code.unpacked(keys, 5)] == [c.tolist() for c in columns]
+    assert sorted(zip(*keys)) == [tuple(int(k[0]) for k in code.packed([np.array([x]) for x in row])) for row in sorted(zip(*columns))]
+    wide = phrases.Coding(phrases.HASHED)
+    hashes = [rng.integers(0, 1 << 62, 9) for _ in range(3)]
+    assert [c.tolist() for c in wide.unpacked(wide.packed(hashes), 3)] == [c.tolist() for c in hashes]
+
+
+@pytest.mark.parametrize("bits", [phrases.BITS, phrases.HASHED])
+def test_distinct_rows_come_in_order(bits):
+    rng = np.random.default_rng(2)
+    columns = [rng.choice(rng.integers(0, 1 << bits - 1, 3), 400) for _ in range(5)]
+    first, n = phrases.distinct(columns, bits)
+    want = Counter(zip(*(c.tolist() for c in columns)))
+    assert [tuple(int(c[i]) for c in columns) for i in first] == sorted(want) and n.tolist() == [want[x] for x in sorted(want)]
+
+
 def test_slices_do_not_change_the_words(monkeypatch):
     text = " ".join(texts(40)).encode()
     whole = [w for part in phrases.slices(text) for w in part]
@@ -80,20 +118,22 @@ def test_slices_do_not_change_the_words(monkeypatch):
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
 def test_the_stack_over_any_batches(size):
     rng = np.random.default_rng(3)
-    rows = Counter(b"\x00".join([b"en", *(rng.choice([b"a", b"b", b"a\x01\x01", b"c"], int(rng.integers(1, 6))))]) for _ in range(400))
-    ordered = sorted(rows, reverse=True)
-    want = Counter()
-    for r in ordered:
-        parts = r.split(b"\x00")
-        for k in range(2, len(parts) + 1):
-            want[b" ".join(map(phrases.plain, parts[1:k])), k - 1] += rows[r]
-    batches = [pa.RecordBatch.from_pydict({"suffix": pa.array(ordered[i : i + size], pa.binary()), "n": pa.array([rows[r] for r in ordered[i : i + size]], pa.int64())}) for i in range(0, len(ordered), size)]
-    got, edges = Counter(), 0
-    for b in phrases.beginnings(iter(batches), 5, 12):
-        for p, k, f in zip(b.column("phrase").to_pylist(), b.column("size").to_pylist(), b.column("f").to_pylist()):
-            got[p, k] += f
-            edges += f < 12
-    assert all(got[x] == f for x, f in want.items() if f >= 12) and all(want[x] == f for x, f in got.items()) and edges <= 10
+    rows = Counter(tuple([*map(int, rng.integers(1, 5, k)), *[0] * (5 - k)]) for k in map(int, rng.integers(1, 6, 400)))
+    ordered, bounds = sorted(rows, reverse=True), [(1, 3, 2, 0, 0), (2, 2, 0, 0, 0), (2, 2, 2, 1, 0)]
+    want, code = Counter(), phrases.Coding(phrases.BITS)
+    for r, n in rows.items():
+        for k in range(1, 6):
+            if r[k - 1]:
+                want[(*r[:k], *[0] * (5 - k))] += n
+    keys = code.packed([np.array(c) for c in zip(*ordered)])
+    part = [sum(r >= b for b in bounds) for r in ordered]
+    table = pa.table({"part": pa.array(part, pa.int32()), "k0": keys[0], "k1": keys[1], "n": pa.array([rows[r] for r in ordered], pa.int32())})
+    got, small = Counter(), 0
+    for b in phrases.beginnings(iter(table.to_batches(size)), code, 5, 12):
+        for *c, f in zip(*(x.to_pylist() for x in b.columns)):
+            got[tuple(c)] += f
+            small += f < 12
+    assert all(got[x] == f for x, f in want.items() if f >= 12) and all(want[x] == f for x, f in got.items()) and small <= 10 * (len(bounds) + 1)
 
 
 def test_ranges_hand_on_their_edges(spark):
@@ -105,9 +145,17 @@ def test_ranges_hand_on_their_edges(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_escapes():
-    for w in [b"\x00", b"\x01", b"\x01\x00", b"\x00\x01", b"\x00\x00\x01\x02", b"\x02\x01\x01", b"a\x01\x02\x00b"]:
-        assert b"\x00" not in phrases.escaped(w) and phrases.plain(phrases.escaped(w)) == w
+def test_hashes_beyond_a_vocabulary_give_the_same_rows(spark):
+    data = [(t, ["en", None][i % 2]) for i, t in enumerate(texts(200))]
+    docs = spark.createDataFrame(data, "text string, lang string").repartition(3)
+    assert mined(docs, least=4, vocabulary=5) == mined(docs, least=4) == brute(data, least=4)
+
+
+def test_words_that_share_a_hash_are_noticed(spark):
+    words = spark.createDataFrame([(b"en", b"a", 7, 9), (b"en", b"b", 7, 1), (b"en", b"c", 8, 9)], "lang binary, word binary, code long, n long")
+    from siltstone.sources.scratch import Scratch
+
+    assert phrases.coding(words, Scratch(spark), 5, 0, 1) is None and phrases.coding(words, Scratch(spark), 5, 0, 2)[0].lists is not None
 
 
 def test_products_beyond_64_bits(spark):
