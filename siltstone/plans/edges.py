@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,7 +14,9 @@ from siltstone.plans.registry import Tables, query
 from siltstone.plans.trees import FOLDERS, TREE, folders_of, tree_of
 from siltstone.sources import listing
 from siltstone.sources.completer import complete, prompts_of, read_replies
-from siltstone.sources.extraction import MAX_BYTES, skip_reason
+from siltstone.sources.extraction import MAX_BYTES, SPACE, extract, skip_reason
+from siltstone.sources.scratch import Scratch
+from siltstone.sources.tablelog import TableLog
 from siltstone.streaming import state
 
 NOW = "1997-06-15"
@@ -152,6 +155,7 @@ def zone_routing(t: Tables) -> DataFrame:
     placed = owned(t, files).withColumn("folder_id", F.col("owner_folder"))
     k = F.col("o_orderkey") % 4
     obs = placed.withColumn("tag", F.when(k == 0, F.coalesce(F.concat(F.lit("Spring "), "campaign_id"), F.lit("KNOWN ONE"))).when(k == 1, "elsewhere at all").when(k == 2, ""))
+    obs = Scratch(obs.sparkSession).save(obs.select("o_orderkey", "tag", "owner_type", "folder_id", "campaign_id", "campaign_name", "status", "piece_id"), "observations")
     families = obs.filter("campaign_id IS NOT NULL").select("campaign_id").distinct().withColumn("names", F.array(F.lit("Autumn"), F.concat(F.lit("spring "), "campaign_id")))
     known = t.nation.sparkSession.createDataFrame([("Known One", 0)], "name string, position int")
     directory = R.name_directory(known.select("name", F.lit("existing").alias("kind"), F.lit("one").alias("target")))
@@ -240,14 +244,12 @@ def unaccented_texts(t: Tables) -> DataFrame:
     return t.documents.filter("text IS NOT NULL").select("doc_id", F.md5(X.unaccented(F.col("text")).cast("binary")).alias("code"))
 
 
-@query(r"""SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR trim(regexp_extract(text, '^[^\r\n]*'), ' ') = '' THEN NULL ELSE trim(regexp_extract(text, '^[^\r\n]*'), ' ') END AS body FROM documents WHERE text IS NOT NULL AND regexp_extract(text, '^[^\r\n]*') NOT LIKE '#%' AND NOT contains(regexp_extract(text, '^[^\r\n]*'), chr(9))""")
+@query(r"""SELECT doc_id, nullif(regexp_replace(regexp_replace(text, '(?m)^##([ \t])', '#-\1', 'g'), '\A[\t\n\v\f\r ]+|[\t\n\v\f\r ]+\z', '', 'g'), '') AS body FROM documents""")
 def section_bodies(t: Tables) -> DataFrame:
-    """The first line of each document as a section; every third document has an empty one."""
-    line = F.regexp_extract("text", r"^[^\r\n]*", 0)
-    body = F.when(F.col("doc_id") % 3 == 0, "").otherwise(line)
+    """Each whole text as a section between others; a heading of the section's own level within it is written one level apart."""
+    body = F.regexp_replace(F.coalesce("text", F.lit("")), r"(?m)^##([ \t])", "#-$1")
     stored = F.concat(F.lit("edited\n\n## Context\n"), body, F.lit("\n\n## Transient\n- x\n"))
-    some = t.documents.filter("text IS NOT NULL").filter(~F.startswith(line, F.lit("#")) & ~F.contains(line, F.lit("\t")))
-    return some.select("doc_id", X.section(stored, "Context").alias("body"))
+    return t.documents.select("doc_id", X.section(stored, "Context").alias("body"))
 
 
 @query("""WITH x AS (SELECT ['a.b@c.co', '.a@b.co', 'a..b@c.co', 'a@b', 'a b@c.co', 'o''k+x@sub.dom.org', '@b.co', 'a.@b.co'][1 + c_custkey % 8] AS raw FROM customer)
@@ -402,10 +404,54 @@ def new_entities(t: Tables) -> DataFrame:
     return C.new_entity_rows(found, "campaign").select("group_id", "property")
 
 
-@query("""WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(9)) AND NOT contains(text, chr(13)))
-  SELECT doc_id, count(DISTINCT line) AS facts FROM l WHERE line <> '' AND line NOT LIKE '[new campaign candidate%' GROUP BY 1""")
+@query("""WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM documents)
+  SELECT doc_id, count(DISTINCT line) AS facts FROM l WHERE line <> '' AND line NOT LIKE '[new campaign candidate "%' GROUP BY 1""")
 def known_facts(t: Tables) -> DataFrame:
-    """The lines of documents as bullets of facts, each once."""
-    some = t.documents.filter("text IS NOT NULL").filter(~F.contains("text", F.lit("\t")) & ~F.contains("text", F.lit("\r")))
+    """All lines of all documents as bullets of facts, each once."""
     body = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("- "), x)), "\n")
-    return C.known_facts(some.select(F.col("doc_id").alias("entity_id"), body.alias("body")))[0].groupBy(F.col("entity_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("facts"))
+    return C.known_facts(t.documents.select(F.col("doc_id").alias("entity_id"), body.alias("body")))[0].groupBy(F.col("entity_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("facts"))
+
+
+# -- extraction and the table log ---------------------------------------------------------------------------------
+
+TRIMMED = "trim(text, " + " || ".join(f"chr({ord(c)})" for c in SPACE) + ")"
+
+
+@query(f"""WITH x AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'text/plain' WHEN 1 THEN 'text/markdown' ELSE 'doc' END AS mime, coalesce(text, '') AS text, {TRIMMED.replace('text', "coalesce(text, '')")} AS body FROM documents)
+  SELECT doc_id, CASE WHEN mime = 'doc' AND length(text) > 5000 THEN 'too_many_chars' WHEN body = '' THEN 'empty' END AS reason, CASE WHEN body <> '' AND NOT (mime = 'doc' AND length(text) > 5000) THEN md5(body) END AS content_hash FROM x""")
+def extracted_documents(t: Tables) -> DataFrame:
+    """Documents as files of three kinds, the native ones with a limit of 5,000 characters: reasons, and hashes of the trimmed texts."""
+    from siltstone.sources.extraction import MIME
+
+    kind = F.when(F.col("doc_id") % 3 == 0, "text/plain").when(F.col("doc_id") % 3 == 1, "text/markdown").otherwise(MIME["doc"])
+    content = F.coalesce("text", F.lit("")).cast("binary")
+    files = t.documents.select(F.col("doc_id").cast("string").alias("id"), kind.alias("mime_type"), F.octet_length(content).cast("long").alias("size"), F.lit(False).alias("is_folder"), F.lit(None).cast("struct<id:string,mime_type:string>").alias("shortcut"), content.alias("content"))
+    found = extract(files, MAX_BYTES, native_chars=5000, readers={MIME["doc"]: lambda c: c.decode("utf-8", "replace")})
+    return found.select(F.col("id").cast("long").alias("doc_id"), "reason", F.md5(F.col("text").cast("binary")).alias("content_hash"))
+
+
+ORDER_STATES = ("F", "O", "P")
+
+
+def replayed(t: Tables) -> TableLog:
+    """The orders, as they are closed, open and pending, as three updates of one table: the latest order of each customer."""
+    log = TableLog(t.orders.sparkSession, Scratch(t.orders.sparkSession).root)
+    for step, kind in enumerate(ORDER_STATES):
+        rows = t.orders.filter(F.col("o_orderstatus") == kind).select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+        log.upsert("orders", rows, ["o_custkey"], ["day", "o_orderkey"], 8, once=("replay", step))
+        log.upsert("orders", rows, ["o_custkey"], ["day", "o_orderkey"], 8, once=("replay", step))  # a step that comes again changes nothing
+    return log
+
+
+@query("SELECT o_custkey, arg_max(o_orderkey, (CAST(o_orderdate AS DATE), o_orderkey)) AS o_orderkey, CAST(max(o_orderdate) AS DATE) AS day FROM orders GROUP BY 1")
+def replayed_updates(t: Tables) -> DataFrame:
+    return replayed(t).read("orders")
+
+
+@query("""WITH v AS (SELECT * FROM (VALUES (1, 'F'), (2, 'O'), (3, 'P')) x(version, status)), o AS (SELECT version, o_custkey, arg_max(o_orderkey, (CAST(o_orderdate AS DATE), o_orderkey)) AS k FROM orders JOIN v ON o_orderstatus <= status GROUP BY ALL)
+  SELECT version, count(*) AS customers, CAST(sum(k) AS BIGINT) AS keys FROM o GROUP BY 1""")
+def table_versions(t: Tables) -> DataFrame:
+    """What the table of ``replayed_updates`` held after each update."""
+    log = replayed(t)
+    each = [log.read("orders", v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("customers"), F.sum("o_orderkey").alias("keys")) for v in log.versions()]
+    return reduce(DataFrame.unionByName, each)

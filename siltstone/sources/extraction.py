@@ -6,10 +6,10 @@ import html
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Media types that are told apart.
@@ -23,8 +23,9 @@ MIME = {
     "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
     "pptx": "application/vnd.openxmlformats-officedocument.presentationml.presentation",
 }
-#: Fixed value: the largest file that is read.
-MAX_BYTES = 314_572_800
+#: The largest file that is downloaded, the longest text of a native document, and the white space that is trimmed.
+MAX_BYTES, NATIVE_CHARS = 314_572_800, 2_000_000
+SPACE = "\t\n\x0b\x0c\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 NATIVE, DOWNLOADED = ("doc", "slides", "sheet"), ("pdf", "docx", "pptx")
 
 
@@ -83,9 +84,11 @@ def office_text(content: bytes, pattern: str, paragraph: str) -> str:
     return "\n".join(html.unescape(x) for x in lines if x)
 
 
-def read_one(mime: str, content: bytes) -> tuple[str, str | None, str | None]:
-    """(kind, reason, text) of one file's bytes."""
+def read_one(mime: str, content: bytes, readers: dict[str, Callable[[bytes], str]] = {}) -> tuple[str, str | None, str | None]:
+    """(kind, reason, text) of one file's bytes; ``readers`` has further extractors by media type."""
     try:
+        if mime in readers:
+            return "ok", None, readers[mime](content)
         if mime == MIME["docx"]:
             return "ok", None, office_text(content, r"word/document\.xml", "w:p")
         if mime == MIME["pptx"]:
@@ -99,22 +102,36 @@ def read_one(mime: str, content: bytes) -> tuple[str, str | None, str | None]:
     return "skip", "no_extractor", None
 
 
-def extract(files: DataFrame, max_bytes: int, max_chars: int = 2_000_000) -> DataFrame:
+def outcome(mime: str, content: bytes, native_chars: int, readers: dict[str, Callable[[bytes], str]]) -> tuple[str, str | None, str | None]:
+    """As ``read_one``, trimmed; a blank text is skipped as ``empty``, one of a native document beyond ``native_chars`` as ``too_many_chars``."""
+    kind, reason, text = read_one(mime, content, readers)
+    if kind != "ok":
+        return kind, reason, None
+    if mime in map(MIME.get, NATIVE) and len(text) > native_chars:
+        return "skip", "too_many_chars", None
+    text = text.strip(SPACE)
+    return ("ok", None, text) if text else ("skip", "empty", None)
+
+
+def extract(files: DataFrame, max_bytes: int, native_chars: int = NATIVE_CHARS, readers: dict[str, Callable[[bytes], str]] | None = None) -> DataFrame:
     """``files`` (id, mime_type, size, is_folder, shortcut, content) as (id, kind, reason, text).
 
-    The dispatch runs before the bytes are handed to Python, so a skipped file costs nothing there. Texts beyond
-    ``max_chars`` are skipped with a reason. PDF and native documents need an extractor of the caller's.
+    The dispatch runs before the bytes are handed to Python, so a skipped file costs nothing there. Downloads and texts are
+    limited by their bytes alone; native documents have no size to check, so the length of their text is limited instead.
+    PDF and native documents need an extractor among ``readers`` (by media type).
     """
     reason = files.withColumn("reason", skip_reason(max_bytes))
     skipped = reason.filter("reason IS NOT NULL").select("id", F.lit("skip").alias("kind"), "reason", F.lit(None).cast("string").alias("text"))
     mime = F.coalesce(F.col("shortcut.mime_type"), F.col("mime_type"))
+    further = readers or {}
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = [(i, *read_one(m, bytes(c or b""))) for i, m, c in zip(part["id"], part.mime, part.content)]
-            yield pd.DataFrame([r if len(r[3] or "") <= max_chars else (r[0], "skip", "too_many_chars", None) for r in rows], columns=["id", "kind", "reason", "text"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [outcome(m.as_py(), c.as_py() or b"", native_chars, further) for m, c in zip(batch.column("mime"), batch.column("content"))]
+            kinds, reasons, texts = zip(*rows) if rows else ([], [], [])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(x, pa.string()) for x in (kinds, reasons, texts))], names=["id", "kind", "reason", "text"])
 
-    read = reason.filter("reason IS NULL").select("id", mime.alias("mime"), "content").mapInPandas(run, "id string, kind string, reason string, text string")
+    read = reason.filter("reason IS NULL").select(F.col("id").cast("string").alias("id"), mime.alias("mime"), "content").mapInArrow(run, "id string, kind string, reason string, text string")
     return skipped.unionByName(read)
 
 

@@ -48,7 +48,16 @@ def test_extraction(spark):
     df = spark.createDataFrame(rows, "id string, mime_type string, content binary").select("*", F.lit(1).cast("long").alias("size"), F.lit(False).alias("is_folder"), F.lit(None).cast("struct<id:string,mime_type:string>").alias("shortcut"))
     got = {r.id: (r.kind, r.reason, r.text) for r in X.extract(df, 1000).collect()}
     assert got["docx"][2] == "one & two\nthree" and got["bad"][:2] == ("skip", "parse_error") and got["html"][2] == "a b\nc" and got["txt"][2] == "plain" and got["zip"][:2] == ("skip", "unsupported_mime")
-    assert X.extract(df, 1000, max_chars=3).filter("reason = 'too_many_chars'").count() == 3
+
+
+def test_only_native_documents_are_limited_by_characters(spark):
+    m, long = X.MIME, b"x" * 2_000_001
+    rows = [("text", "text/plain", long), ("over", m["doc"], long), ("at", m["sheet"], long[1:]), ("slides", m["slides"], b" \xe2\x80\x83 "), ("blank", "text/csv", " \u00a0\ufeff\n".encode()), ("trim", "text/plain", "\n a b\u3000".encode()), ("pdf", m["pdf"], b"p")]
+    df = spark.createDataFrame(rows, "id string, mime_type string, content binary").select("*", F.lit(None).cast("long").alias("size"), F.lit(False).alias("is_folder"), F.lit(None).cast("struct<id:string,mime_type:string>").alias("shortcut"))
+    readers = {m[k]: lambda c: c.decode() for k in X.NATIVE}
+    got = {r.id: (r.kind, r.reason, r.n) for r in X.extract(df, X.MAX_BYTES, readers=readers).select("id", "kind", "reason", F.length("text").alias("n")).collect()}
+    skip = lambda why: ("skip", why, None)
+    assert got == {"text": ("ok", None, 2_000_001), "over": skip("too_many_chars"), "at": ("ok", None, 2_000_000), "slides": skip("empty"), "blank": skip("empty"), "trim": ("ok", None, 3), "pdf": skip("no_extractor")}
 
 
 def test_flatteners(spark):
