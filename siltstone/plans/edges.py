@@ -12,7 +12,7 @@ from siltstone.functions.validate import validated
 from siltstone.operators import changes as C, hierarchy as T, lifecycle as L, matching as M, reports as P, resolution as R, scores as S
 from siltstone.plans.registry import Tables, query
 from siltstone.plans.trees import FOLDERS, TREE, folders_of, tree_of
-from siltstone.sources import listing
+from siltstone.sources import feed, listing
 from siltstone.sources.completer import complete, prompts_of, read_replies
 from siltstone.sources.extraction import MAX_BYTES, SPACE, extract, skip_reason
 from siltstone.sources.scratch import Scratch
@@ -412,6 +412,36 @@ def known_facts(t: Tables) -> DataFrame:
     return C.known_facts(t.documents.select(F.col("doc_id").alias("entity_id"), body.alias("body")))[0].groupBy(F.col("entity_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("facts"))
 
 
+# -- data sources -------------------------------------------------------------------------------------------------
+
+
+def exported(t: Tables) -> str:
+    """The entries and a feed of changes, an event each, where a connector finds them."""
+    scratch = Scratch(t.orders.sparkSession)
+    entries = entries_of(t).select(*feed.ENTRY_FIELDS.names)
+    scratch.save(entries, "entries")
+    file = F.concat(F.lit("o"), (1 + F.get_json_object("props", "$.k").cast("long")).cast("string"))
+    scratch.save(t.events.select(F.col("event_id").alias("sequence"), F.col("event_type").alias("kind"), file.alias("id")).join(entries.drop("position"), "id", "left").withColumn("position", F.lit(0).cast("long")).select(*feed.CHANGE_FIELDS.names), "changes")
+    return scratch.root
+
+
+@query(f"WITH {ENTRIES} SELECT id, name, size FROM e WHERE parent_id IN ('c1', 'c2', 'n2', 'root')")
+def listing_source(t: Tables) -> DataFrame:
+    """Four folders through the listing as a data source, which takes the filter."""
+    spark = feed.register(t.orders.sparkSession)
+    return spark.read.format("siltstone_listing").option("path", exported(t)).load().filter(F.col("parent_id").isin("c1", "c2", "n2", "root")).select("id", "name", "size")
+
+
+@query("SELECT event_type AS kind, count(*) AS n, count(DISTINCT event_id) AS tokens FROM events WHERE event_id > 0 GROUP BY 1")
+def changes_source(t: Tables) -> DataFrame:
+    """The change feed as a stream, in two runs of one checkpoint; the second finds nothing new."""
+    spark, root = feed.register(t.orders.sparkSession), exported(t)
+    for _ in range(2):
+        changes = spark.readStream.format("siltstone_changes").option("path", root).load()
+        changes.writeStream.format("parquet").option("path", f"{root}/seen").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/seen").groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("sequence").alias("tokens"))
+
+
 # -- extraction and the table log ---------------------------------------------------------------------------------
 
 TRIMMED = "trim(text, " + " || ".join(f"chr({ord(c)})" for c in SPACE) + ")"
