@@ -76,14 +76,14 @@ def test_state_is_the_open_days(spark, tmp_path):
     assert max(most[2:]) <= max(most[:3]) + 10
 
 
-@pytest.mark.parametrize("cuts", [[], [30], [5, 50, 51]])
-def test_new_ideas_come_once(spark, tmp_path, cuts):
+@pytest.mark.parametrize("cuts,ttl", [([30], None), ([5, 50, 51], 10**9)])
+def test_new_ideas_come_once(spark, tmp_path, cuts, ttl):
     source, sink, check, schema = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), "account long, name string"
     rng = random.Random(2)
     rows = [(rng.choice([1, 2, None]), rng.choice(["A", " A ", "b", "", None, "c d", f"n{rng.randrange(20)}"])) for _ in range(80)]
     for low, high in zip([0, *cuts], [*cuts, len(rows)]):
         feed(spark, source, rows[low:high], schema)
-        K.run_to_end(K.new_ideas(spark.readStream.schema(schema).parquet(source), ttl_ms=10**9), sink, check)
+        K.run_to_end(K.new_ideas(spark.readStream.schema(schema).parquet(source), ttl_ms=ttl), sink, check, timed=ttl is None)
     want = {(a, n.strip()) for a, n in rows if n and n.strip()}
     assert sorted(map(tuple, spark.read.parquet(sink).select("account", "name").collect()), key=repr) == sorted(want, key=repr)
 
