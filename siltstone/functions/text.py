@@ -6,7 +6,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 #: Fixed value: a job number in brackets, 2 to 10 capitals, then 4 to 14 digits.
 JOB_NUMBER = r"\[([A-Z]{2,10}\d{4,14})\]"
@@ -59,11 +59,16 @@ def unaccented_each(texts: Column) -> Column:
     return F.transform(_bare_each(texts), plain)
 
 
-def trigrams(normalised: Column) -> Column:
-    """Distinct trigrams of a normalised text: each word with two blanks before and one behind; none for no words."""
+def ordered_trigrams(normalised: Column) -> Column:
+    """The trigrams of a normalised text in their order: each word with two blanks before and one behind; none for no words."""
     words = F.filter(F.split(normalised, " "), lambda w: w != "")
     one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substr(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3)))
-    return F.array_distinct(F.flatten(F.transform(words, one)))
+    return F.flatten(F.transform(words, one))
+
+
+def trigrams(normalised: Column) -> Column:
+    """The distinct trigrams of a normalised text."""
+    return F.array_distinct(ordered_trigrams(normalised))
 
 
 def shared_and_all(a: Column, b: Column) -> tuple[Column, Column]:
@@ -78,12 +83,37 @@ def trigram_similarity(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / every)
 
 
+def best_extent(own: set[str], text: list[str]) -> float:
+    """The best share of common over all distinct trigrams of ``own`` and any run of ``text``; the best run starts and ends with a common one."""
+    hits, best = [i for i, t in enumerate(text) if t in own], 0.0
+    for i in hits:
+        seen, common = set(), 0
+        for t in text[i : hits[-1] + 1]:
+            if t not in seen:
+                seen.add(t)
+                common += t in own
+            best = max(best, common / (len(own) + len(seen) - common))
+            if len(seen) * best >= len(own):  # no longer run can be better
+                break
+    return best
+
+
+def ordered(normalised: str) -> list[str]:
+    """``ordered_trigrams`` of one text."""
+    return [f"  {w} "[i : i + 3] for w in normalised.split(" ") if w for i in range(len(w) + 1)]
+
+
+@F.pandas_udf(DoubleType())
+def _best_extents(own: pd.Series, text: pd.Series) -> pd.Series:
+    return pd.Series([None if a is None or b is None else best_extent(set(ordered(a)), ordered(b)) for a, b in zip(own, text)], dtype=object)
+
+
 def word_similarity(a: Column, b: Column) -> Column:
-    """The best trigram similarity of ``a`` to a run of whole words of ``b`` (both normalised)."""
-    words = F.filter(F.split(b, " "), lambda w: w != "")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)))
-    runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - i + 1, F.lit(1))), lambda n: F.array_join(F.slice(words, i, n), " "))))
-    return F.coalesce(F.array_max(F.transform(runs, lambda r: trigram_similarity(trigrams(a), trigrams(r)))), F.lit(0.0))
+    """The greatest trigram similarity of ``a`` to any extent of the ordered trigrams of ``b`` (both normalised); null if either is.
+
+    An extent may begin and end within words; trigrams that it repeats count once. Null and empty texts have none: 0 for empty.
+    """
+    return _best_extents(a, b)
 
 
 def job_number(name: Column) -> Column:

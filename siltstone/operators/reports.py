@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from siltstone.functions import json
+
 
 def pending_by_account(proposals: DataFrame) -> DataFrame:
     """Accounts by their number of pending proposals, the most first."""
@@ -36,7 +38,7 @@ def source_ids(*lists: Column) -> Column:
 
 def unlogged(diagnostics: DataFrame, log: DataFrame, path: str = "$.key") -> DataFrame:
     """Diagnostics (key, ...) whose key no log row's payload (JSON) holds yet."""
-    seen = log.select(F.get_json_object("payload", path).alias("_key")).filter("_key IS NOT NULL").distinct()
+    seen = log.select(json.text_at(json.parsed(F.col("payload")), path).alias("_key")).filter("_key IS NOT NULL").distinct()
     return diagnostics.join(seen, F.col("key") == F.col("_key"), "left_anti")
 
 

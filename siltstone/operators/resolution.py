@@ -289,40 +289,52 @@ def same_name(idea: dict, known: list[dict]) -> tuple[int, list[str]]:
 def derived_pieces(found: DataFrame, pieces: DataFrame, least: float = 0.8) -> DataFrame:
     """What each execution (account, position, name, job_number, match_id, confidence) of a dossier becomes.
 
-    In this order: the piece with its job number, the piece named by ``match_id`` if the confidence suffices, the piece
-    of the same name, else a new one; later rows see earlier creations. Job numbers are unique over all accounts, so a
-    number that another account holds is dropped. Returns (account, position, piece_id, via).
+    In this order: the piece with its job number, the known piece named by ``match_id`` if the confidence suffices, the
+    piece of the same name, else a new one; later rows see earlier creations and what earlier rows have come to. Job
+    numbers are unique over all accounts, so a number that another account holds is dropped. Positions are unique within
+    an account; null is an account of its own. Returns (account, position, piece_id, via).
+
+    How a row is resolved follows from what is known and from the first row of its job number and of its name, so a row is a
+    known piece, a new one, or points at an earlier row. Pointers are followed by doubling, a join a round, of which there
+    are as many as the longest chain has binary digits; no account is gathered in one task.
     """
-    cols = ["account", "piece_id", "name", "job_number"]
-    holders = pieces.filter("job_number IS NOT NULL").groupBy("job_number").agg(F.min_by(F.struct("account", "piece_id"), "piece_id").alias("held")).select("job_number", F.col("held.account").alias("held_by"), F.col("held.piece_id").alias("held_piece"))
+    scratch = Scratch(found.sparkSession)
+    named = lambda c: F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
+    holders = pieces.filter("job_number IS NOT NULL").groupBy("job_number").agg(F.min_by(F.struct("account", "piece_id"), "piece_id").alias("held")).select("job_number", F.col("held.account").alias("held_by"))
     firsts = found.filter("job_number IS NOT NULL").groupBy("job_number").agg(F.min(F.struct("account", "position")).alias("first"))
     claimed = found.join(holders, "job_number", "left").join(firsts, "job_number", "left")
-    usable_number = F.coalesce("held_by", "first.account") == F.col("account")
-    claimed = claimed.withColumn("job_number", F.when(usable_number, F.col("job_number"))).select("account", "position", "name", "job_number", "match_id", "confidence")
-
-    def run(rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        by_job = {r.job_number: r.piece_id for r in own.itertuples() if isinstance(r.job_number, str)}
-        by_name = {r.name.strip().lower(): r.piece_id for r in own.sort_values("piece_id", ascending=False).itertuples()}
-        ids, out = set(own.piece_id), []
-        for r in rows.sort_values("position").itertuples():
-            name = r.name.strip().lower()
-            if isinstance(r.job_number, str) and r.job_number in by_job:
-                piece, via = by_job[r.job_number], "job_number"
-            elif r.match_id in ids and r.confidence >= least:
-                piece, via = r.match_id, "match"
-            elif name in by_name:
-                piece, via = by_name[name], "name"
-            else:
-                piece, via = f"new-{r.account}-{r.position}", "new"
-                ids.add(piece)
-            by_name.setdefault(name, piece)
-            if isinstance(r.job_number, str):
-                by_job.setdefault(r.job_number, piece)
-            out.append((r.account, r.position, piece, via))
-        return pd.DataFrame(out, columns=["account", "position", "piece_id", "via"])
-
-    account = found.schema["account"].dataType.simpleString()
-    return claimed.groupBy("account").cogroup(pieces.select(*cols).groupBy("account")).applyInPandas(run, f"account {account}, position long, piece_id string, via string")
+    usable = F.when(F.coalesce("held_by", "first.account").eqNullSafe(F.col("account")), F.col("job_number"))
+    rows = scratch.save(claimed.select("account", "position", named("name").alias("name"), usable.alias("job"), "match_id", F.coalesce(F.col("confidence") >= least, F.lit(False)).alias("sure")), "rows")
+
+    def met(left: DataFrame, keys: dict[str, str], right: DataFrame, value: str) -> DataFrame:
+        """``left`` with ``value`` of ``right``, whose columns of the same account equal those named by ``keys``."""
+        other = right.select(F.col("account").alias("_account"), *(F.col(k).alias(f"_{k}") for k in keys.values()), value)
+        same = F.col("account").eqNullSafe(F.col("_account"))
+        for own, theirs in keys.items():
+            same = same & (F.col(own) == F.col(f"_{theirs}"))
+        return left.join(other, same, "left").drop("_account", *(f"_{k}" for k in keys.values()))
+
+    known = pieces.select("account", "piece_id", named("name").alias("name"), F.col("job_number").alias("job"))
+    placed = met(rows, {"job": "job"}, known.filter("job IS NOT NULL").groupBy("account", "job").agg(F.min("piece_id").alias("by_job")), "by_job")
+    placed = met(placed, {"job": "job"}, rows.filter("job IS NOT NULL").groupBy("account", "job").agg(F.min("position").alias("first_job")), "first_job")
+    placed = met(placed, {"match_id": "piece_id"}, known.select("account", "piece_id", F.col("piece_id").alias("by_match")).distinct(), "by_match")
+    placed = met(placed, {"name": "name"}, known.groupBy("account", "name").agg(F.min("piece_id").alias("by_name")), "by_name")
+    placed = met(placed, {"name": "name"}, rows.groupBy("account", "name").agg(F.min("position").alias("first_name")), "first_name")
+    job, earlier_job, match = F.col("by_job").isNotNull(), F.col("first_job") < F.col("position"), F.col("by_match").isNotNull() & F.col("sure")
+    name, earlier_name = F.col("by_name").isNotNull(), F.col("first_name") < F.col("position")
+    via = F.when(job | earlier_job, "job_number").when(match, "match").when(name | earlier_name, "name").otherwise("new")
+    new = F.concat(F.lit("new-"), F.coalesce(F.col("account").cast("string"), F.lit("")), F.lit("-"), F.col("position").cast("string"))
+    piece = F.when(job, F.col("by_job")).when(earlier_job, None).when(match, F.col("by_match")).when(name, F.col("by_name")).when(earlier_name, None).otherwise(new)
+    up = F.when(~job & earlier_job, F.col("first_job")).otherwise(F.col("first_name"))
+    state = scratch.save(placed.select("account", "position", via.alias("via"), piece.alias("piece_id"), F.when(piece.isNull(), up).alias("up")), "pointers-0")
+    settled, going, turn = state.filter("up IS NULL"), state.filter("up IS NOT NULL"), 0
+    while not going.isEmpty():
+        turn += 1
+        above = settled.unionByName(going).select(F.col("account").alias("_account"), F.col("position").alias("_at"), F.col("piece_id").alias("piece"), F.col("up").alias("up2"))
+        moved = going.join(above, F.col("account").eqNullSafe(F.col("_account")) & (F.col("up") == F.col("_at")))
+        moved = scratch.save(moved.select("account", "position", "via", F.col("piece").alias("piece_id"), F.col("up2").alias("up")), f"pointers-{turn}")
+        settled, going = settled.unionByName(moved.filter("up IS NULL")), moved.filter("up IS NOT NULL")
+    return settled.select("account", "position", "piece_id", "via")
 
 
 def repaired_labels(labels: DataFrame, folders: DataFrame, campaigns: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from siltstone.functions import json as J
 from siltstone.functions.text import job_number
 from siltstone.operators import changes as C, lifecycle as L, matching as M, reports as P, resolution as R, scores as S
 from siltstone.plans.registry import Tables, query
@@ -280,7 +281,22 @@ def merge_loop(t: Tables) -> DataFrame:
     return R.merge_ideas(ideas, R.same_name).withColumn("facets", F.array_join("facets", "|"))
 
 
-@query()
+PIECES = """lines AS (SELECT l.*, CAST(o_custkey AS VARCHAR) AS account, o_orderdate FROM lineitem l JOIN orders ON o_orderkey = l_orderkey),
+  f AS (SELECT account, row_number() OVER (PARTITION BY account ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS position, 'part ' || l_partkey AS name,
+    CASE WHEN l_partkey % 7 = 0 THEN 'JOB' || (l_partkey + 1000) END AS job, CASE WHEN l_partkey % 5 = 0 THEN 'p' || l_partkey END AS match_id, CAST(l_partkey % 100 AS DOUBLE) / 100 AS confidence FROM lines),
+  owner AS (SELECT l_partkey, arg_min(account, (o_orderdate, l_orderkey)) AS account FROM lines GROUP BY 1),
+  k AS (SELECT account, 'p' || p_partkey AS piece_id, 'part ' || p_partkey AS name, CASE WHEN p_partkey % 11 = 0 THEN 'JOB' || (p_partkey + 1000) END AS job FROM part LEFT JOIN owner ON l_partkey = p_partkey),
+  first AS (SELECT job, min({'a': account, 'p': position}).a AS account FROM f WHERE job IS NOT NULL GROUP BY 1),
+  u AS (SELECT f.account, f.position, f.name, f.match_id, f.confidence, CASE WHEN coalesce(k.account, first.account) = f.account THEN f.job END AS job FROM f LEFT JOIN k USING (job) LEFT JOIN first USING (job)),
+  fj AS (SELECT account, job, min(position) AS p FROM u WHERE job IS NOT NULL GROUP BY ALL), fn AS (SELECT account, name, min(position) AS p FROM u GROUP BY ALL),
+  s AS (SELECT u.account, u.position, j.piece_id AS j, fj.p AS pj, m.piece_id AS m, n.piece_id AS n, fn.p AS pn FROM u LEFT JOIN k j ON j.account = u.account AND j.job = u.job LEFT JOIN fj ON fj.account = u.account AND fj.job = u.job
+    LEFT JOIN k m ON m.account = u.account AND m.piece_id = u.match_id AND u.confidence >= 0.8 LEFT JOIN k n ON n.account = u.account AND n.name = u.name JOIN fn ON fn.account = u.account AND fn.name = u.name),
+  r AS (SELECT account, position, CASE WHEN j IS NOT NULL OR pj < position THEN 'job_number' WHEN m IS NOT NULL THEN 'match' WHEN n IS NOT NULL OR pn < position THEN 'name' ELSE 'new' END AS via,
+    CASE WHEN j IS NOT NULL THEN j WHEN pj < position THEN NULL WHEN m IS NOT NULL THEN m WHEN n IS NOT NULL THEN n WHEN pn < position THEN NULL ELSE 'new-' || account || '-' || position END AS piece_id, CASE WHEN j IS NULL AND pj < position THEN pj ELSE pn END AS up FROM s),
+  w AS (SELECT account, position, via, piece_id, up FROM r UNION ALL SELECT w.account, w.position, w.via, r.piece_id, r.up FROM w JOIN r ON r.account = w.account AND r.position = w.up WHERE w.piece_id IS NULL)"""
+
+
+@query(f"WITH RECURSIVE {PIECES} SELECT account, position, piece_id, via FROM w WHERE piece_id IS NOT NULL")
 def derived_pieces(t: Tables) -> DataFrame:
     """Order lines as executions of the order's customer; parts as known pieces of the customer who ordered them first."""
     from pyspark.sql import Window
@@ -359,3 +375,33 @@ def expiry_prune(t: Tables) -> DataFrame:
     body = F.array_join(F.transform(F.filter(F.split("text", "\n"), lambda x: blank(x) != ""), expires), "\n")
     left = t.documents.filter("text IS NOT NULL").select("doc_id", unexpired(body, F.lit("2024-02-01")).alias("left"))
     return left.select("doc_id", F.col("left").isNotNull().alias("left_over"), F.when(F.col("left").isNull(), 0).otherwise(F.size(F.split("left", "\n"))).cast("long").alias("n"))
+
+
+WORDS = "flatten(list_transform(list_filter(string_split({0}, ' '), lambda w: w <> ''), lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3))))"
+
+
+@query(f"""WITH a AS (SELECT phrase, list_distinct({WORDS.format('phrase')}) AS own FROM (SELECT DISTINCT substr(p_name, 2) AS phrase FROM part)), b AS (SELECT text, {WORDS.format('lower(text)')} AS t FROM (SELECT DISTINCT p_type || ' ' || p_name AS text FROM part)),
+  e AS (SELECT phrase, text, own, list_distinct(t[i : j]) AS x FROM a, b, range(1, 60) p(i), range(1, 60) q(j) WHERE i <= j AND j <= len(t)), s AS (SELECT phrase, text, len(list_intersect(own, x)) AS c, len(own) + len(x) AS every_ FROM e)
+  SELECT phrase, text, round(max(c / (every_ - c)), 9) AS score FROM s GROUP BY ALL HAVING max(c / (every_ - c)) >= 0.6""")
+def facet_matches(t: Tables) -> DataFrame:
+    """Names of parts less their first letter, found in types and names by the best extent of trigrams."""
+    phrases = t.part.select(F.substr("p_name", F.lit(2)).alias("q")).distinct().withColumn("phrase", F.col("q"))
+    texts = t.part.select(F.concat_ws(" ", "p_type", "p_name").alias("id")).distinct().withColumn("text", F.col("id"))
+    return M.word_matches(texts, phrases).select(F.col("q").alias("phrase"), F.col("id").alias("text"), F.round("score", 9).alias("score"))
+
+
+KINDS = "CASE json_type({0}) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE CASE WHEN {0} IS NOT NULL THEN 'number' END END".format
+
+
+@query(f"""WITH e AS (SELECT event_id, CAST('{{"payload":' || props || ',"tags":' || to_json(list_transform(range(event_id % 4), lambda i: event_type)) || ',"user":{{"id":' || user_id || '}},"odd":' || (event_id % 2 = 1) || ',"none":null,"name":"' || event_type || '"}}' AS JSON) AS j FROM events)
+  SELECT event_id, json_extract_string(j, '$.payload.k') AS k, json_extract_string(j, '$.user') AS user_text, CAST(json_array_length(j, '$.tags') AS INT) AS n_tags, json_extract_string(j, '$.tags[0]') AS first_tag,
+  {', '.join(f"{KINDS(f"json_extract(j, '$.{c}')")} AS {c}_kind" for c in ('payload', 'tags', 'odd', 'none', 'name', 'missing'))}, {KINDS("json_extract(j, '$.payload.k')")} AS k_kind FROM e""")
+def json_documents(t: Tables) -> DataFrame:
+    """Events as documents of all kinds of JSON values, asked by path, text, kind and length."""
+    tags = F.to_json(F.array_repeat("event_type", (F.col("event_id") % 4).cast("int")))
+    text = F.concat(F.lit('{"payload":'), "props", F.lit(',"tags":'), tags, F.lit(',"user":{"id":'), F.col("user_id").cast("string"), F.lit('},"odd":'), (F.col("event_id") % 2 == 1).cast("string"), F.lit(',"none":null,"name":"'), "event_type", F.lit('"}'))
+    j = F.col("j")
+    kinds = [J.kind(J.at(j, f"$.{c}")).alias(f"{c}_kind") for c in ("payload", "tags", "odd", "none", "name", "missing")]
+    return t.events.select("event_id", J.parsed(text).alias("j")).select(
+        "event_id", J.text_at(j, "$.payload.k").alias("k"), J.text_at(j, "$.user").alias("user_text"), J.array_length(J.at(j, "$.tags")).alias("n_tags"), J.text_at(j, "$.tags[0]").alias("first_tag"), *kinds, J.kind(J.at(j, "$.payload.k")).alias("k_kind")
+    )
