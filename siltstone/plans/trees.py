@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from siltstone.functions.text import path_year
-from siltstone.operators import hierarchy as T
+from siltstone.operators import hierarchy as T, intervals as V
 from siltstone.plans.registry import Tables, query
 
 
@@ -95,3 +95,17 @@ def binaries_only(t: Tables) -> DataFrame:
 @query("SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS place FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS down FROM orders) WHERE down <= 5")
 def last_candidates(t: Tables) -> DataFrame:
     return T.ordered_within(t.orders.select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], 5).select("o_custkey", "o_orderkey", F.col("place").cast("long").alias("place"))
+
+
+@query(f"""WITH RECURSIVE {TREE}, e AS (SELECT unnest(ids) AS id FROM tree WHERE reach = 'in') SELECT id, CAST(depth AS INT) AS depth, count(*) - 1 AS below FROM e JOIN tree USING (id) GROUP BY ALL""")
+def interval_counts(t: Tables) -> DataFrame:
+    """The counts of ``subtree_counts`` by entry and last entry."""
+    return V.subtree_counts(V.intervals(folders_of(t), "root"))
+
+
+@query(f"""WITH RECURSIVE {TREE}, e AS (SELECT id AS at, unnest(ids) AS id FROM tree WHERE reach = 'in'), o AS (SELECT 'c' || o_custkey AS at, count(*) AS n FROM orders GROUP BY 1)
+  SELECT e.id, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM e LEFT JOIN o USING (at) GROUP BY 1""")
+def interval_files(t: Tables) -> DataFrame:
+    """The orders of the customers below each folder, by running sums over entries."""
+    files = t.orders.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("parent_id"))
+    return V.counts_below(files, V.intervals(folders_of(t), "root"))
