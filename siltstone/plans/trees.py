@@ -103,8 +103,8 @@ def interval_counts(t: Tables) -> DataFrame:
     return V.subtree_counts(V.intervals(folders_of(t), "root"))
 
 
-@query(f"""WITH RECURSIVE {TREE}, e AS (SELECT id AS at, unnest(ids) AS id FROM tree WHERE reach = 'in'), o AS (SELECT 'c' || o_custkey AS at, count(*) AS n FROM orders GROUP BY 1)
-  SELECT e.id, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM e LEFT JOIN o USING (at) GROUP BY 1""")
+@query(f"""WITH RECURSIVE {TREE}, e AS (SELECT id AS node, unnest(ids) AS id FROM tree WHERE reach = 'in'), o AS (SELECT 'c' || o_custkey AS node, count(*) AS n FROM orders GROUP BY 1)
+  SELECT e.id, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM e LEFT JOIN o USING (node) GROUP BY 1""")
 def interval_files(t: Tables) -> DataFrame:
     """The orders of the customers below each folder, by running sums over entries."""
     files = t.orders.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("parent_id"))
