@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltstone.functions import text as X
 from siltstone.functions.validate import validated
-from siltstone.operators import changes as C, hierarchy as T, lifecycle as L, matching as M, reports as P, resolution as R, scores as S
+from siltstone.operators import activity as A, changes as C, hierarchy as T, lifecycle as L, matching as M, reports as P, resolution as R, scores as S
 from siltstone.plans.registry import Tables, query
 from siltstone.plans.trees import FOLDERS, TREE, folders_of, tree_of
-from siltstone.sources import feed, listing
+from siltstone.sources import feed, listing, sinks
 from siltstone.sources.completer import complete, prompts_of, read_replies
-from siltstone.sources.extraction import MAX_BYTES, SPACE, extract, skip_reason
+from siltstone.sources.extraction import MAX_BYTES, SPACE, extract, paragraphs_text, sheets_text, skip_reason, slides_text
 from siltstone.sources.scratch import Scratch
 from siltstone.sources.tablelog import TableLog
 from siltstone.streaming import state
@@ -485,3 +485,67 @@ def table_versions(t: Tables) -> DataFrame:
     log = replayed(t)
     each = [log.read("orders", v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("customers"), F.sum("o_orderkey").alias("keys")) for v in log.versions()]
     return reduce(DataFrame.unionByName, each)
+
+
+# -- codecs, messages and notes -----------------------------------------------------------------------------------
+
+
+@query("""WITH e AS (SELECT ts, user_id, CASE event_type WHEN 'purchase' THEN 'Edit' WHEN 'signup' THEN 'CREATE' ELSE event_type END AS a, json_extract_string(props, '$.k') AS k FROM events),
+  x AS (SELECT ts, user_id, unnest([a, 'Rename']) AS a, k FROM e), y AS (SELECT ts, user_id, a, unnest(['items/' || k, 'other/' || k]) AS target FROM x)
+  SELECT CAST(ts AS DATE) AS day, CASE WHEN lower(a) IN ('edit', 'create', 'rename') THEN lower(a) ELSE 'other' END AS action, regexp_replace(target, '^items/', '') AS file_id, count(*) AS n, count(DISTINCT user_id) AS actors FROM y GROUP BY ALL""")
+def exploded_activity(t: Tables) -> DataFrame:
+    """Each event as an activity of two actions on two targets."""
+    k = F.get_json_object("props", "$.k")
+    action = F.when(F.col("event_type") == "purchase", "Edit").when(F.col("event_type") == "signup", "CREATE").otherwise(F.col("event_type"))
+    raw = t.events.select("ts", F.col("user_id").alias("actor"), F.array(action, F.lit("Rename")).alias("actions"), F.array(F.concat(F.lit("items/"), k), F.concat(F.lit("other/"), k)).alias("targets"))
+    return A.exploded(raw).groupBy(F.to_date("ts").alias("day"), "action", "file_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("actor").alias("actors"))
+
+
+@query("SELECT DISTINCT CAST(ts AS DATE) AS day, CAST(json_extract(props, '$.k') AS BIGINT) AS file_id, 2 * CAST(json_extract(props, '$.k') AS BIGINT) AS size FROM events")
+def day_codec(t: Tables) -> DataFrame:
+    """The files of each day, stored each once with lists of ids by day, and read back."""
+    file = F.get_json_object("props", "$.k").cast("long")
+    files, days = sinks.encode_days(t.events.select(F.to_date("ts").alias("day"), file.alias("file_id"), (2 * file).alias("size")).distinct())
+    return sinks.decode_days(files, days).select("day", "file_id", "size")
+
+
+@query("""WITH p AS (SELECT 'r' || o_custkey || '@x.co' AS reviewer, CASE o_orderstatus WHEN 'F' THEN 'field_change' WHEN 'O' THEN 'additional_update' ELSE 'new_entity' END AS kind, o_orderpriority AS g FROM orders),
+  c AS (SELECT reviewer, count(*) FILTER (kind = 'field_change') AS field_change, count(*) FILTER (kind = 'additional_update') AS additional_update, count(*) FILTER (kind = 'new_entity') AS new_entity, count(DISTINCT CASE WHEN kind = 'new_entity' THEN g END) AS groups FROM p GROUP BY 1)
+  SELECT reviewer AS "to", concat_ws(chr(10), CASE WHEN field_change > 0 THEN field_change || ' field change' END, CASE WHEN additional_update > 0 THEN additional_update || ' additional update' END, CASE WHEN new_entity > 0 THEN new_entity || ' new entity' END) AS body, groups FROM c""")
+def digest_messages(t: Tables) -> DataFrame:
+    """Orders as proposals that their customer reviews."""
+    kind = F.when(F.col("o_orderstatus") == "F", "field_change").when(F.col("o_orderstatus") == "O", "additional_update").otherwise("new_entity")
+    rows = t.orders.select(F.concat(F.lit("r"), F.col("o_custkey").cast("string"), F.lit("@x.co")).alias("reviewer_email"), kind.alias("kind"), F.col("o_orderpriority").alias("group_id"))
+    return sinks.digests(rows).select("to", "body", "groups")
+
+
+@query("""WITH n AS (SELECT p_partkey, p_name, p_brand, CASE WHEN p_size > 25 THEN '[new campaign candidate "' || p_name || '"] ' || p_type ELSE p_type END AS note FROM part)
+  SELECT p_partkey, note LIKE '[new campaign candidate "%' AS marked, CASE WHEN note LIKE '[new campaign candidate "%' THEN substr(note, length(p_name) + 29) END AS own, CAST(NULL AS VARCHAR) AS others FROM n""")
+def marked_notes(t: Tables) -> DataFrame:
+    """Types of large parts as notes on a candidate that is named like the part; the mark of another name stays."""
+    note = F.when(F.col("p_size") > 25, F.concat(X.candidate_marker(F.col("p_name")), F.lit(" "), "p_type")).otherwise(F.col("p_type"))
+    return t.part.select("p_partkey", X.is_candidate(note).alias("marked"), X.strip_candidate(note, F.col("p_name")).alias("own"), X.strip_candidate(note, F.col("p_brand")).alias("others"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def chatty_replies(t: Tables) -> DataFrame:
+    """The properties of events as replies in a fence, after other words, or bare."""
+    text = F.when(F.col("value") > 100, F.concat(F.lit("Here it is:\n```json\n"), "props", F.lit("\n```\nDone."))).when(F.col("value") > 50, F.concat(F.lit("So: "), "props", F.lit("."))).otherwise(F.col("props"))
+    return t.events.select("event_id", F.get_json_object(X.json_body(text), "$.k").cast("long").alias("k"))
+
+
+@query("""WITH l AS (SELECT l_orderkey, string_agg(l_partkey || chr(9) || l_suppkey, chr(10) ORDER BY l_partkey, l_suppkey) AS rows_ FROM lineitem GROUP BY 1)
+  SELECT o_orderkey, md5(o_orderpriority || chr(10) || rows_) AS document, md5(CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderpriority || chr(10) || '[Notes]' || chr(10) || o_orderstatus || chr(10) || chr(10) END || rows_) AS slides,
+    md5('# ' || o_orderpriority || chr(10) || rows_ || chr(10) || chr(10) || '# again' || chr(10) || rows_) AS sheets FROM orders JOIN l ON l_orderkey = o_orderkey""")
+def flattened_orders(t: Tables) -> DataFrame:
+    """Orders as documents of a paragraph and a table, as slides of which pending ones are hidden, and as sheets."""
+    table = F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey")))
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.transform(table, lambda x: F.array(x["l_partkey"].cast("string"), x["l_suppkey"].cast("string"))).alias("rows"))
+    o = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    none = F.lit(None).cast("array<array<string>>")
+    blocks = F.array(F.struct(F.lit("paragraph").alias("kind"), F.col("o_orderpriority").alias("text"), none.alias("rows")), F.struct(F.lit("table").alias("kind"), F.lit(None).cast("string").alias("text"), "rows"))
+    text = F.array_join(F.transform("rows", lambda r: F.array_join(r, "\t")), "\n")
+    slides = F.array(F.struct((F.col("o_orderstatus") == "P").alias("hidden"), F.col("o_orderpriority").alias("body"), F.col("o_orderstatus").alias("notes")), F.struct(F.lit(None).cast("boolean").alias("hidden"), text.alias("body"), F.lit(" ").alias("notes")))
+    sheets = F.array(F.struct(F.col("o_orderpriority").alias("title"), "rows"), F.struct(F.lit("again").alias("title"), "rows"))
+    code = lambda c: F.md5(c.cast("binary"))
+    return o.select("o_orderkey", code(paragraphs_text(blocks)).alias("document"), code(slides_text(slides)).alias("slides"), code(sheets_text(sheets)).alias("sheets"))

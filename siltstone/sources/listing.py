@@ -7,6 +7,8 @@ from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from siltstone.sources.scratch import Scratch
+
 FOLDER = "folder"
 
 
@@ -118,11 +120,12 @@ def listed_tree(store: Store, spark: SparkSession, root: str, flat_allowed: bool
     folders = all_folders(store.entries(spark))
     if flat_allowed:
         return resolve(folders, root).filter("reach = 'in' AND depth IS NOT NULL").select("id", "name", "parent_id", "depth")
+    scratch = Scratch(spark)
     found = level = folders.filter(F.col("parent_id") == root).select("id", "name", "parent_id").withColumn("depth", F.lit(1))
     for depth in range(2, most_levels + 1):
         above = level.select(F.col("id").alias("_up"))
         level = folders.join(above, F.col("parent_id") == F.col("_up")).select("id", "name", "parent_id").withColumn("depth", F.lit(depth))
-        level = level.checkpoint() if spark.sparkContext.getCheckpointDir() else level
+        level = scratch.save(level, f"level-{depth}")
         if level.isEmpty():
             break
         found = found.unionByName(level)

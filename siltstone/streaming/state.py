@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.sources.scratch import delete
+from siltstone.sources.scratch import Scratch, delete
 
 
 class HeldBack(Exception):
@@ -100,7 +100,7 @@ def chunked(items: DataFrame, order: list[str], size: int) -> DataFrame:
     """
     ranged = items.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
     ranged = ranged.withColumn("_range", F.shiftright("_at", 33))
-    ranged = ranged.checkpoint() if items.sparkSession.sparkContext.getCheckpointDir() else ranged.persist()
+    ranged = Scratch(items.sparkSession).save(ranged, "ranged")  # numbers depend on how rows were ranged, so they are written once
     counts = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, so_far = [], 0
     for number in sorted(counts):
