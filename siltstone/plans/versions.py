@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from siltstone.operators import versions as V
 from siltstone.plans.registry import Tables, query
+from siltstone.sources.layout import Laid
 
 CUT = "1996-01-01"
 
@@ -104,3 +105,14 @@ def outcome_rows(t: Tables) -> DataFrame:
   FROM orders GROUP BY o_custkey""")
 def structure_fingerprint(t: Tables) -> DataFrame:
     return V.fingerprint(versions_of(t), ["file_id"], ["id", "path"])
+
+
+@query("""WITH o AS (SELECT o_custkey, arg_max({'k': o_orderkey, 'p': o_orderpriority}, (CAST(o_orderdate AS DATE), o_orderkey)) AS x, count(*) AS n FROM orders GROUP BY 1)
+  SELECT c_custkey, c_mktsegment, x.k AS last_order, x.p AS priority, n FROM customer JOIN o ON o_custkey = c_custkey""")
+def laid_out_latest(t: Tables) -> DataFrame:
+    """The latest order of each customer and how many there are, from two tables in buckets of customers; only writing them shuffles."""
+    laid = Laid(t.orders.sparkSession)
+    orders = laid.save(t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("day")), ["c_custkey"], "orders")
+    customers = laid.save(t.customer.select("c_custkey", "c_mktsegment"), ["c_custkey"], "customers")
+    top = orders.groupBy("c_custkey").agg(F.max_by(F.struct("o_orderkey", "o_orderpriority"), F.struct("day", "o_orderkey")).alias("x"), F.count(F.lit(1)).alias("n"))
+    return customers.join(top, "c_custkey").select("c_custkey", "c_mktsegment", F.col("x.o_orderkey").alias("last_order"), F.col("x.o_orderpriority").alias("priority"), "n")
