@@ -170,3 +170,47 @@ def ordered_within(rows: DataFrame, keys: list[str], order: list[Column], k: int
     down = F.row_number().over(Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]))
     kept = rows.withColumn("_down", down).filter(F.col("_down") <= k)
     return kept.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_down")))).drop("_down")
+
+
+def after_changes(tree: DataFrame, changes: DataFrame, gone: DataFrame, root: str, drive_root: str | None = None, cap: int = DEPTH_CAP, scratch: Scratch | None = None) -> DataFrame:
+    """The rows of a tree that changes touch, resolved anew: all others stay as they are.
+
+    ``tree`` is what ``resolve`` gave, ``changes`` (id, name, parent_id) has folders that are new, renamed or moved, and
+    ``gone`` (id) those that are no more. Touched are these, what lies below them, and folders without a known chain,
+    which may have found one. Only touched folders are joined with each other, by doubling, until their chains leave the
+    touched part; the folder that they come to gives the rest. What is written follows the change, not the tree.
+    Returns the columns of ``tree``; a row of a folder that is gone has a null ``reach``. ``merged`` puts both together.
+    """
+    scratch = scratch or Scratch(tree.sparkSession)
+    marked = scratch.save(changes.select("id").unionByName(gone.select("id")).distinct(), "marked")
+    over = tree.filter("ids IS NOT NULL").select("id", F.explode("ids").alias("_over")).join(marked.withColumnRenamed("id", "_over"), "_over", "left_semi")
+    old = over.select("id").unionByName(tree.filter("ids IS NULL").select("id")).distinct()
+    new = changes.select("id", F.col("name").alias("_name"), F.col("parent_id").alias("_parent"), F.lit(True).alias("_new"))
+    kept = tree.select("id", "name", "parent_id").join(old, "id", "left_semi").join(new, "id", "full_outer")
+    kept = kept.select("id", F.when(F.col("_new"), F.col("_name")).otherwise(F.col("name")).alias("name"), F.when(F.col("_new"), F.col("_parent")).otherwise(F.col("parent_id")).alias("parent_id"))
+    touched = scratch.save(kept.join(gone.select("id"), "id", "left_anti"), "touched")
+    columns = ["id", "name", "parent_id", "up", "ids", "names"]
+    going = scratch.save(touched.select("id", "name", "parent_id", F.col("parent_id").alias("up"), F.array("id").alias("ids"), F.array("name").alias("names"), F.lit(False).alias("done")), "going-0")
+    settled, left, turn = going.limit(0), None, 0
+    while (n := going.count()) and n != left:
+        left, turn = n, turn + 1
+        ahead = settled.unionByName(going).select(F.col("id").alias("at"), F.col("up").alias("up2"), F.col("ids").alias("ids2"), F.col("names").alias("names2"), F.col("done").alias("done2"))
+        met, out = going.join(ahead, F.col("up") == F.col("at"), "left"), F.col("at").isNull()
+        longer = lambda a, b: F.when(out, F.col(b)).otherwise(F.concat(a, b)).alias(b)
+        moved = met.select("id", "name", "parent_id", F.when(out, F.col("up")).otherwise(F.col("up2")).alias("up"), longer("ids2", "ids"), longer("names2", "names"), F.coalesce("done2", F.lit(True)).alias("done"))
+        moved = scratch.save(moved.select(*columns, "done"), f"going-{turn}")
+        settled, going = settled.unionByName(moved.filter("done")), moved.filter("NOT done")
+    above = tree.join(old, "id", "left_anti").select(F.col("id").alias("_id"), F.col("reach").alias("_reach"), F.col("ids").alias("_ids"), F.col("path").alias("_path"))
+    placed = settled.unionByName(going.withColumn("up", F.lit(None).cast("string"))).join(above, F.col("up") == F.col("_id"), "left")
+    reach = F.when(F.col("up") == root, "in").when(F.col("up") == F.lit(drive_root), "out").otherwise(F.coalesce("_reach", F.lit("orphan")))
+    ids = F.concat(F.coalesce("_ids", F.array().cast("array<string>")), "ids")
+    shown = (reach != "orphan") & (F.size(ids) <= cap + 1)
+    path = F.concat_ws(" / ", "_path", F.array_join("names", " / "))
+    found = placed.select("id", "name", "parent_id", reach.alias("reach"), F.when(shown, F.size(ids)).alias("depth"), F.when(shown, ids).alias("ids"), F.when(shown, path).alias("path"))
+    lost = tree.join(gone.select("id").distinct(), "id", "left_semi").select("id", *(F.lit(None).cast(tree.schema[c].dataType).alias(c) for c in ("name", "parent_id", "reach", "depth", "ids", "path")))
+    return scratch.save(found.unionByName(lost), "rewritten")
+
+
+def merged(tree: DataFrame, rewritten: DataFrame) -> DataFrame:
+    """``tree`` with the rows of ``after_changes`` in the place of its own."""
+    return tree.join(rewritten.select("id"), "id", "left_anti").unionByName(rewritten.filter("reach IS NOT NULL").select(*tree.columns))

@@ -109,3 +109,17 @@ def interval_files(t: Tables) -> DataFrame:
     """The orders of the customers below each folder, by running sums over entries."""
     files = t.orders.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("parent_id"))
     return V.counts_below(files, V.intervals(folders_of(t), "root"))
+
+
+MOVED = FOLDERS.replace("f AS (", "f0 AS (", 1) + """, f AS (SELECT f0.id, CASE WHEN f0.id = 'n4' THEN 'renamed' ELSE name END AS name, CASE WHEN c_custkey IS NOT NULL THEN 'n2' ELSE parent_id END AS parent_id
+  FROM f0 LEFT JOIN customer ON f0.id = 'c' || c_custkey AND c_mktsegment = 'MACHINERY' WHERE f0.id <> 'n5')""" + TREE[len(FOLDERS) :]
+
+
+@query(f"WITH RECURSIVE {MOVED} SELECT id, reach, CAST(depth AS INT) AS depth, path FROM tree")
+def tree_after_moves(t: Tables) -> DataFrame:
+    """The tree of ``tree_paths`` after the customers of a segment have moved, a nation has got another name and one is gone."""
+    tree, customers = tree_of(t), t.customer.filter("c_mktsegment = 'MACHINERY'")
+    moved = customers.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("name"), F.lit("n2").alias("parent_id"))
+    renamed = folders_of(t).filter("id = 'n4'").select("id", F.lit("renamed").alias("name"), "parent_id")
+    rewritten = T.after_changes(tree, moved.unionByName(renamed), folders_of(t).filter("id = 'n5'").select("id"), "root", "drive")
+    return T.merged(tree, rewritten).select("id", "reach", "depth", "path")
