@@ -263,7 +263,19 @@ def merge_scoring(t: Tables) -> DataFrame:
     return S.merge_score(decisions).withColumn("false_merge_rate", F.round("false_merge_rate", 9))
 
 
-@query()
+SAID = "trim(regexp_replace(lower(strip_accents({0})), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))".format
+GRAMS = "list_distinct(flatten(list_transform(list_filter({0}, lambda w: w <> ''), lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))".format
+RUNS = "CASE WHEN len({0}) >= 5 THEN list_distinct(list_transform(range(1, len({0}) - 3), lambda i: array_to_string({0}[i : i + 4], ' '))) ELSE [] END".format
+
+
+@query(f"""WITH RECURSIVE x AS MATERIALIZED (SELECT e, {GRAMS('w')} AS a, {RUNS('w')} AS r FROM (SELECT doc_id AS e, list_filter(string_split({SAID('text')}, ' '), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL)),
+  y AS MATERIALIZED (SELECT g, {GRAMS('w')} AS b, {RUNS('w')} AS s FROM (SELECT item_id AS g, list_filter(string_split({SAID('text')}, ' '), lambda w: w <> '') AS w FROM benchmark WHERE text IS NOT NULL)),
+  c AS (SELECT e, g, len(list_intersect(a, b)) AS n, len(a) + len(b) AS every_, len(list_intersect(r, s)) AS held, len(s) AS runs FROM x, y),
+  o AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY score DESC, e, g) AS i FROM (SELECT e, g, greatest(CASE WHEN every_ > n THEN n / (every_ - n) ELSE 0 END, CASE WHEN runs > 0 THEN held / runs ELSE 0 END) AS score FROM c) WHERE score >= 0.3),
+  walk(i, es, gs, hit) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]), FALSE UNION ALL
+    SELECT i, CASE WHEN free THEN list_append(es, e) ELSE es END, CASE WHEN free THEN list_append(gs, g) ELSE gs END, free FROM (SELECT o.i, es, gs, e, g, NOT list_contains(es, e) AND NOT list_contains(gs, g) AS free FROM walk JOIN o ON o.i = walk.i + 1)),
+  h AS (SELECT e, g FROM walk JOIN o USING (i) WHERE hit)
+  SELECT 'all' AS deck, e, g, score, hit, NOT hit AND e NOT IN (SELECT e FROM h) AND g IN (SELECT g FROM h) AS duplicate FROM o JOIN walk USING (i)""")
 def greedy_assign(t: Tables) -> DataFrame:
     """Benchmark passages against all documents, by their whole texts: one-to-one, best first."""
     gold, found = t.benchmark.select(F.col("item_id").alias("g"), "text"), t.documents.select(F.col("doc_id").alias("e"), "text")
