@@ -248,7 +248,7 @@ def paired_comparison(t: Tables) -> DataFrame:
 
 
 @query("""WITH d AS (SELECT l_suppkey AS account, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS position,
-    'k' || l_partkey AS cluster, l_linenumber = 1 AS creates, CASE WHEN l_partkey % 9 > 0 THEN l_partkey % 50 END AS key FROM lineitem),
+    'k' || (l_suppkey % 40) AS cluster, l_linenumber = 1 AS creates, CASE WHEN l_partkey % 9 > 0 THEN l_partkey % 50 END AS key FROM lineitem),
   j AS (SELECT *, last_value(CASE WHEN creates THEN {'k': key} END IGNORE NULLS) OVER (PARTITION BY account, cluster ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS target,
     coalesce(sum(CASE WHEN creates THEN 1 ELSE 0 END) OVER (PARTITION BY account, key ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM d),
   c AS (SELECT account, count(*) AS decisions, count(*) FILTER (WHERE NOT creates AND key = target.k) AS correct, count(*) FILTER (WHERE NOT creates AND key <> target.k) AS false_merges,
@@ -257,7 +257,7 @@ def paired_comparison(t: Tables) -> DataFrame:
 def merge_scoring(t: Tables) -> DataFrame:
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     decisions = t.lineitem.select(
-        F.col("l_suppkey").alias("account"), F.struct(*order).alias("position"), F.concat(F.lit("k"), F.col("l_partkey").cast("string")).alias("cluster"),
+        F.col("l_suppkey").alias("account"), F.struct(*order).alias("position"), F.concat(F.lit("k"), (F.col("l_suppkey") % 40).cast("string")).alias("cluster"),
         F.when(F.col("l_linenumber") == 1, "create").otherwise("merge").alias("action"), F.when(F.col("l_partkey") % 9 > 0, F.col("l_partkey") % 50).alias("key"),
     )
     return S.merge_score(decisions).withColumn("false_merge_rate", F.round("false_merge_rate", 9))
