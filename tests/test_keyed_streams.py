@@ -116,3 +116,21 @@ def test_changes_meet_activity_as_in_a_batch(spark, tmp_path, steps):
     feed(spark, a, [(999, 1, START)], CHANGES)
     progress = K.run_to_end(K.actors_of_changes(spark.readStream.schema(CHANGES).parquet(a), spark.readStream.schema(ACTS).parquet(b)), sink, check)
     assert K.dropped_late(progress) == 1 and spark.read.parquet(sink).filter(F.col("sequence") == 999).isEmpty()
+
+
+def test_changes_are_compared_only_with_what_is_near_in_time(spark):
+    """A busy file over many days: pairs that the join looks at grow with the days, not with their square."""
+    days, schema = 40, "file_id long, at timestamp"
+    at = lambda i: START + datetime.timedelta(hours=i)
+    rows = spark.createDataFrame([(1, at(i)) for i in range(24 * days)], schema)
+    changes = rows.select(F.monotonically_increasing_id().alias("sequence"), "file_id", F.col("at").alias("changed_at"))
+    acts = rows.select(F.monotonically_increasing_id().alias("event_id"), "file_id", F.lit(1).cast("long").alias("actor"), F.col("at").alias("acted_at"))
+    met = K.actors_of_changes(changes, acts)
+    assert met.count() == 24 * days
+    keys = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "of_span" in keys and "on_span" in keys
+    edges = [datetime.timedelta(minutes=m, seconds=s) for m in range(-10, 11, 5) for s in (-1, 0, 1)]
+    c = spark.createDataFrame([(m, 1, START + datetime.timedelta(minutes=m)) for m in range(0, 90, 5)], CHANGES)
+    a = spark.createDataFrame([(i * 100 + m, 1, 0, START + datetime.timedelta(minutes=m) + e) for m in range(0, 90, 30) for i, e in enumerate(edges)], ACTS)
+    want = sorted((x.sequence, y.event_id) for x in c.collect() for y in a.collect() if abs(x.changed_at - y.acted_at) <= datetime.timedelta(minutes=10))
+    assert sorted((r.sequence, r.event_id) for r in K.actors_of_changes(c, a).collect()) == want
