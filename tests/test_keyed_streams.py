@@ -88,6 +88,13 @@ def test_new_ideas_come_once(spark, tmp_path, cuts, ttl):
     assert sorted(map(tuple, spark.read.parquet(sink).select("account", "name").collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_ideas_known_for_good_ask_no_python(spark, tmp_path):
+    source, sink, check, schema = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), "account long, name string"
+    feed(spark, source, [(1, "a"), (1, " a"), (2, "a"), (None, "a")], schema)
+    progress = K.run_to_end(K.new_ideas(spark.readStream.schema(schema).parquet(source)), sink, check)
+    assert [o["operatorName"] for o in progress[0]["stateOperators"]] == ["dedupe"] and K.most_state(progress) == 3
+
+
 CHANGES, ACTS = "sequence long, file_id long, changed_at timestamp", "event_id long, file_id long, actor long, acted_at timestamp"
 
 
