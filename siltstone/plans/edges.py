@@ -301,12 +301,8 @@ def source_unions(t: Tables) -> DataFrame:
 @query("SELECT a.s_suppkey AS id, count(*) AS partners, CAST(1 AS BIGINT) AS most_across FROM supplier a JOIN supplier b ON a.s_suppkey <> b.s_suppkey GROUP BY 1")
 def window_coverage(t: Tables) -> DataFrame:
     """Every two suppliers share a window of eight, those of different blocks exactly one."""
-    roster = t.supplier.select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") - t.supplier.agg(F.min("s_suppkey")).first()[0]).alias("place"))
-    met = R.paired(roster, 8, roster.count())
-    both = met.select("a", "b", "windows").unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), "windows"))
-    across = F.when(F.floor(F.col("x.place") / 4) != F.floor(F.col("y.place") / 4), F.col("windows")).otherwise(1)
-    placed = both.join(roster.alias("x"), F.col("a") == F.col("x.id")).join(roster.alias("y"), F.col("b") == F.col("y.id"))
-    return placed.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("partners"), F.max(across).alias("most_across"))
+    roster = R.placed(t.supplier.select(F.col("s_suppkey").alias("id")), 0)
+    return R.coverage(roster, 8, roster.count()).filter("partners > 0")
 
 
 def same_nation(window) -> list[tuple[str, list[str], float]]:
