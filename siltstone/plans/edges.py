@@ -415,9 +415,9 @@ def exported(t: Tables) -> str:
     """The entries and a feed of changes, an event each, where a connector finds them."""
     scratch = Scratch(t.orders.sparkSession)
     entries = entries_of(t).select(*feed.ENTRY_FIELDS.names)
-    scratch.save(entries, "entries")
+    feed.write_ordered(entries, "id", f"{scratch.root}/entries")
     file = F.concat(F.lit("o"), (1 + F.get_json_object("props", "$.k").cast("long")).cast("string"))
-    scratch.save(t.events.select(F.col("event_id").alias("sequence"), F.col("event_type").alias("kind"), file.alias("id")).join(entries.drop("position"), "id", "left").withColumn("position", F.lit(0).cast("long")).select(*feed.CHANGE_FIELDS.names), "changes")
+    feed.write_ordered(t.events.select(F.col("event_id").alias("sequence"), F.col("event_type").alias("kind"), file.alias("id")).join(entries.drop("position"), "id", "left").withColumn("position", F.lit(0).cast("long")).select(*feed.CHANGE_FIELDS.names), "sequence", f"{scratch.root}/changes")
     return scratch.root
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition
 
 ENTRY = "id string, name string, mime_type string, parent_id string, trashed boolean, size long, position long"
@@ -45,6 +45,17 @@ class Client(Protocol):
     def changes(self, after: int, upto: int) -> Iterator[pa.RecordBatch]: ...
 
 
+#: How row groups are read: no further ones meanwhile, in batches of some thousand rows.
+ONE_BY_ONE = {"batch_size": 8192, "batch_readahead": 0, "fragment_readahead": 0, "use_threads": False}
+#: Bytes of a row group of files that are written for the client.
+GROUP_BYTES = 4 << 20
+
+
+def write_ordered(rows: DataFrame, key: str, path: str) -> None:
+    """Parquet in the order of ``key`` and in small row groups, so tokens or pages are found by statistics and read by little memory."""
+    rows.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").option("parquet.block.size", GROUP_BYTES).parquet(path)
+
+
 class ParquetClient:
     """Entries under ``path``/entries and changes under ``path``/changes; a page is a row group."""
 
@@ -67,15 +78,26 @@ class ParquetClient:
         for column, values in wanted.items():
             one = ds.field(column).isin(values)
             asked = one if asked is None else asked & one
-        yield from fragment.to_batches(columns=ENTRY_FIELDS.names, filter=asked)
+        yield from fragment.to_batches(columns=ENTRY_FIELDS.names, filter=asked, **ONE_BY_ONE)
 
     def tokens(self) -> tuple[int, int]:
-        newest = max((pc.max(b.column("sequence")).as_py() for b in self._table("changes").to_batches(columns=["sequence"]) if len(b)), default=0)
+        newest = 0
+        for fragment in self._table("changes").get_fragments():
+            for group in fragment.row_groups:
+                if (known := (group.statistics or {}).get("sequence")) and known.get("max") is not None:
+                    newest = max(newest, known["max"])
+                elif group.num_rows:
+                    batches = fragment.subset(row_group_ids=[group.id]).to_batches(columns=["sequence"], **ONE_BY_ONE)
+                    newest = max([newest, *(n for b in batches if (n := pc.max(b.column("sequence")).as_py()) is not None)])
         return self.oldest, newest
 
     def changes(self, after: int, upto: int) -> Iterator[pa.RecordBatch]:
         at = ds.field("sequence")
-        yield from self._table("changes").to_batches(columns=CHANGE_FIELDS.names, filter=(at > after) & (at <= upto))
+        asked = (at > after) & (at <= upto)
+        for fragment in self._table("changes").get_fragments():
+            # row groups whose statistics exclude the tokens are not read, the others one at a time
+            for group in fragment.subset(filter=asked, schema=CHANGE_FIELDS).row_groups:
+                yield from fragment.subset(row_group_ids=[group.id]).to_batches(columns=CHANGE_FIELDS.names, filter=asked, **ONE_BY_ONE)
 
 
 def client_of(options: dict[str, str]) -> Client:

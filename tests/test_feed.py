@@ -88,3 +88,14 @@ def test_a_client_of_the_callers(spark, store):
     with pytest.raises(Exception, match="no_such_client"):
         listing(spark, store, client="siltstone.sources.feed:no_such_client").collect()
     assert listing(spark, store, client="siltstone.sources.feed:ParquetClient").count() == 200
+
+
+def test_tokens_read_only_their_row_groups(spark, tmp_path):
+    changes = spark.range(1, 20001).select(F.col("id").alias("sequence"), F.lit("k").alias("kind"), *(F.lit(None).cast(c).alias(n) for n, c in zip(feed.ENTRY_FIELDS.names, ("string", "string", "string", "string", "boolean", "long", "long"))))
+    changes.orderBy(F.rand(1)).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/unordered/changes")
+    feed.write_ordered(changes.repartition(7), "sequence", f"{tmp_path}/changes")
+    for root in (tmp_path, tmp_path / "unordered"):
+        client = feed.ParquetClient({"path": str(root)})
+        assert client.tokens() == (0, 20000)
+        batches = list(client.changes(500, 900))
+        assert sorted(x for b in batches for x in b.column("sequence").to_pylist()) == list(range(501, 901)) and max(map(len, batches)) <= 8192
