@@ -113,13 +113,20 @@ def outcome(mime: str, content: bytes, native_chars: int, readers: dict[str, Cal
     return ("ok", None, text) if text else ("skip", "empty", None)
 
 
+#: What a batch for Python holds at most: files, and about so many bytes.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
 def extract(files: DataFrame, max_bytes: int, native_chars: int = NATIVE_CHARS, readers: dict[str, Callable[[bytes], str]] | None = None) -> DataFrame:
     """``files`` (id, mime_type, size, is_folder, shortcut, content) as (id, kind, reason, text).
 
     The dispatch runs before the bytes are handed to Python, so a skipped file costs nothing there. Downloads and texts are
     limited by their bytes alone; native documents have no size to check, so the length of their text is limited instead.
-    PDF and native documents need an extractor among ``readers`` (by media type).
+    PDF and native documents need an extractor among ``readers`` (by media type). A Python worker holds a batch of at most
+    ``BATCH_ROWS`` files and about ``BATCH_BYTES``, for which the session's settings are changed, or one larger file.
     """
+    files.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    files.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     reason = files.withColumn("reason", skip_reason(max_bytes))
     skipped = reason.filter("reason IS NOT NULL").select("id", F.lit("skip").alias("kind"), "reason", F.lit(None).cast("string").alias("text"))
     mime = F.coalesce(F.col("shortcut.mime_type"), F.col("mime_type"))
@@ -130,6 +137,7 @@ def extract(files: DataFrame, max_bytes: int, native_chars: int = NATIVE_CHARS,
             rows = [outcome(m.as_py(), c.as_py() or b"", native_chars, further) for m, c in zip(batch.column("mime"), batch.column("content"))]
             kinds, reasons, texts = zip(*rows) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(x, pa.string()) for x in (kinds, reasons, texts))], names=["id", "kind", "reason", "text"])
+        pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
     read = reason.filter("reason IS NULL").select(F.col("id").cast("string").alias("id"), mime.alias("mime"), "content").mapInArrow(run, "id string, kind string, reason string, text string")
     return skipped.unionByName(read)
