@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -31,9 +32,13 @@ def plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
+#: No mark comes before this character.
+MAYBE_MARK = re.compile("[\u0300-\U0010ffff]")
+
+
 def bare(text: str) -> str:
     """The text in compatibility decomposition, without marks."""
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c)[0] != "M")
+    return MAYBE_MARK.sub(lambda m: "" if unicodedata.category(m[0])[0] == "M" else m[0], unicodedata.normalize("NFKD", text))
 
 
 @F.pandas_udf(StringType())
