@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from siltstone.functions import text as X
@@ -305,12 +307,17 @@ def window_coverage(t: Tables) -> DataFrame:
     return R.coverage(roster, 8, roster.count()).filter("partners > 0")
 
 
-def same_nation(window) -> list[tuple[str, list[str], float]]:
-    """A detector that puts together what has the same folder."""
-    groups = {}
-    for i, folder in zip(window["id"], window["nation"]):
-        groups.setdefault(folder, []).append(i)
-    return [(ids[0], ids[1:], 0.9) for ids in groups.values() if len(ids) > 1]
+def same_nation(members: pd.DataFrame) -> pd.DataFrame:
+    """A detector that puts together what has the same nation, in each of many windows."""
+    nation, every = pd.factorize(members["nation"])
+    key = members["window"].to_numpy() * len(every) + nation
+    order = np.argsort(np.where(nation < 0, -1, key), kind="stable")
+    order = order[(nation < 0).sum() :]
+    key = key[order]
+    head = np.r_[True, key[1:] != key[:-1]][: len(key)]
+    run = np.cumsum(head) - 1
+    kept = np.bincount(run)[run] > 1 if len(run) else head
+    return pd.DataFrame({"window": members["window"].to_numpy()[order][kept], "position": run[kept], "id": members["id"].to_numpy()[order][kept], "confidence": 0.9})
 
 
 @query("""WITH n AS (SELECT s_nationkey, min(CAST(s_suppkey AS VARCHAR)) AS component, count(*) AS members FROM supplier GROUP BY 1 HAVING count(*) > 1)
@@ -318,7 +325,7 @@ def same_nation(window) -> list[tuple[str, list[str], float]]:
 def clustered_roster(t: Tables) -> DataFrame:
     """Suppliers of a nation as one entity, found in windows of eight by two passes of votes."""
     roster = t.supplier.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_nationkey").alias("nation"), F.lit(None).cast("string").alias("folder_id"), F.lit(None).cast("string").alias("markdown"), F.lit(0).alias("created_at"))
-    return R.clustered(roster, same_nation, 8)
+    return R.clustered(roster, same_nation, 8, many=True)
 
 
 @query("""WITH g AS (SELECT o_orderkey, o_custkey AS user_id, CASE WHEN o_orderkey % 10 < 5 THEN 0 ELSE o_orderkey % 10 END AS entity, o_orderkey % 10 BETWEEN 1 AND 4 AS moved FROM orders)
