@@ -8,6 +8,7 @@ from siltstone.functions import json as J
 from siltstone.functions.text import job_number
 from siltstone.operators import changes as C, lifecycle as L, matching as M, reports as P, resolution as R, scores as S
 from siltstone.plans.registry import Tables, query
+from siltstone.sources.scratch import Scratch
 
 NOW = "1997-06-15"
 
@@ -314,13 +315,15 @@ def derived_pieces(t: Tables) -> DataFrame:
     from pyspark.sql import Window
 
     part = F.col("l_partkey").cast("string")
-    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("account"), "o_orderdate"), "l_orderkey")
-    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    # lines that agree in these become equal rows, so what else the SQL orders by is not carried
+    order = ["l_orderkey", "l_linenumber", "l_partkey"]
+    lines = t.lineitem.select(*order).join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey")
+    lines = Scratch(lines.sparkSession).save(lines, "lines")  # read for the rows and for the pieces
     found = lines.select(
-        "account", F.row_number().over(Window.partitionBy("account").orderBy(*order)).cast("long").alias("position"), F.concat(F.lit("part "), part).alias("name"),
+        F.col("o_custkey").cast("string").alias("account"), F.row_number().over(Window.partitionBy("o_custkey").orderBy(*order)).cast("long").alias("position"), F.concat(F.lit("part "), part).alias("name"),
         F.when(F.col("l_partkey") % 7 == 0, F.concat(F.lit("JOB"), (F.col("l_partkey") + 1000).cast("string"))).alias("job_number"), F.when(F.col("l_partkey") % 5 == 0, F.concat(F.lit("p"), part)).alias("match_id"), ((F.col("l_partkey") % 100) / 100.0).cast("double").alias("confidence"),
     )
-    first = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min_by("account", F.struct("o_orderdate", "l_orderkey")).alias("account"))
+    first = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min_by("o_custkey", F.struct("o_orderdate", "l_orderkey")).cast("string").alias("account"))
     pieces = t.part.join(first, "p_partkey", "left").select("account", F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("piece_id"), F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("name"), F.when(F.col("p_partkey") % 11 == 0, F.concat(F.lit("JOB"), (F.col("p_partkey") + 1000).cast("string"))).alias("job_number"))
     return R.derived_pieces(found, pieces)
 
